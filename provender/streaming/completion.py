@@ -1,87 +1,126 @@
-"""Stateful completion of work items, and superseding of open ones.
+"""Completion of work items and superseding of open ones, as streams.
 
-State is one small record per work item (attachments with a final status) or
-per document (its open job), spread over the cluster by key. A time limit ends
-a work item that never completes, which bounds the state.
+Work is split into small queries, each with one stateful step or none, joined
+by tables. Counting uses Spark's own aggregates, which reduce each input task
+before the shuffle, so one work item with a third of all statuses stays cheap.
+Only the time limit keeps custom state: two short rows per work item.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-FINAL = ("success", "failure")
-OUT = "job_id bigint, n_final bigint, n_success bigint, chosen bigint, outcome string"
-STATE = "seen string, done boolean"
+from provender.functions.text import named
+from provender.operators.documents import FINAL_STATUSES
+from provender.operators.ordered import with_next
 
+BATCH = "batch"
 
-def track_completion(statuses: DataFrame, limit: str = "24 hours") -> DataFrame:
-    """One row per work item, when all its attachments are final or time is up.
 
-    ``statuses``: ``job_id, attachment, status, n_expected, ts`` (longs, text,
-    long, timestamp). Repeated statuses are ignored; a work item that has been
-    reported is not reported again.
+def _trigger(writer, interval: str | None):
+    return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+
+
+def _read_before(spark: SparkSession, store: str, schema: str, batch_id: int) -> DataFrame:
+    """What earlier batches wrote; a repeated batch does not see its own rows."""
+    try:
+        return spark.read.parquet(store).where(F.col("at_batch") < batch_id)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def _write_batch(rows: DataFrame, store: str, batch_id: int) -> None:
+    rows.withColumn("at_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+        f"{store}/{BATCH}={batch_id:012d}")
+
+
+def start_final_statuses(statuses: DataFrame, out: str, checkpoint: str, limit: str = "24 hours",
+                         interval: str | None = None) -> StreamingQuery:
+    """Keep the first final status of each attachment; repeats within the limit are dropped."""
+    final = statuses.where(F.col("status").isin(*FINAL_STATUSES)).withWatermark("ts", limit)
+    once = final.dropDuplicatesWithinWatermark(["job_id", "attachment"])
+    writer = once.writeStream.format("parquet").outputMode("append").option("path", out).option(
+        "checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
+
+
+def start_completion(finals: DataFrame, store: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Write a row for each work item in the batch that completes it, once.
+
+    ``finals``: ``job_id, attachment, status, n_expected, ts``, one per attachment.
+    """
+    ok = F.col("status") == "success"
+    counts = finals.groupBy("job_id").agg(
+        F.count("*").alias("n_final"), F.count_if(ok).alias("n_success"),
+        F.min(F.when(ok, F.col("attachment"))).alias("chosen"), F.max("n_expected").alias("n_expected"),
+        F.max("ts").alias("ts"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fired = _read_before(batch.sparkSession, store, "job_id bigint, at_batch bigint", batch_id).select("job_id")
+        _write_batch(batch.where("n_final >= n_expected").join(fired, "job_id", "left_anti"), store, batch_id)
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
+
+
+def time_limit(started: DataFrame, completed: DataFrame, limit: str = "24 hours") -> DataFrame:
+    """Work items that do not complete within the limit, as a stream of ``job_id, outcome``.
+
+    ``started`` and ``completed`` hold one row per work item: ``job_id, ts``.
     """
-    final = statuses.where(F.col("status").isin(*FINAL)).withWatermark("ts", limit)
     span = int(pd.Timedelta(limit).total_seconds() * 1000)
+    marks = started.select("job_id", "ts", F.lit(False).alias("done")).unionByName(
+        completed.select("job_id", "ts", F.lit(True).alias("done"))).withWatermark("ts", "0 seconds")
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen_text, done = state.get if state.exists else ("", False)
-        # Attachment -> (status), in order of arrival.
-        seen = dict(p.split("=", 1) for p in seen_text.split(";") if p)
         if state.hasTimedOut:
-            if not done:
-                yield _row(key, seen, "timeout")
+            open_still = not state.get[0]
             state.remove()
+            if open_still:
+                yield pd.DataFrame({"job_id": [int(key[0])], "outcome": ["timeout"]})
             return
-        expected, newest = 0, 0
+        done, newest = (state.get if state.exists else (False, 0))
         for batch in batches:
-            batch = batch.sort_values(["ts", "attachment"], kind="stable")
-            expected = max(expected, int(batch["n_expected"].max()))
+            done = done or bool(batch["done"].any())
             newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
-            for attachment, status in zip(batch["attachment"], batch["status"]):
-                if done:
-                    break
-                seen[str(attachment)] = status
-                if len(seen) >= expected:
-                    done = True
-                    yield _row(key, seen, "complete")
-        state.update((";".join(f"{a}={s}" for a, s in seen.items()), done))
+        state.update((done, newest))
         state.setTimeoutTimestamp(max(newest + span, state.getCurrentWatermarkMs() + 1))
 
-    return final.groupBy("job_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return marks.groupBy("job_id").applyInPandasWithState(
+        step, "job_id bigint, outcome string", "done boolean, newest bigint", "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
-def _row(key: tuple, seen: dict[str, str], outcome: str) -> pd.DataFrame:
-    good = [int(a) for a, s in seen.items() if s == "success"]
-    return pd.DataFrame({
-        "job_id": [int(key[0])], "n_final": [len(seen)], "n_success": [len(good)],
-        "chosen": pd.array([min(good) if good else None], dtype="Int64"), "outcome": [outcome]})
+def start_supersede(jobs: DataFrame, chunk: Column, order: Sequence[str], store: str, checkpoint: str,
+                    interval: str | None = None) -> StreamingQuery:
+    """Write each batch's jobs with the newer job that cancels them.
 
+    ``jobs``: ``doc_id, job_id`` and the order columns. A batch's first job of a
+    document also cancels the document's open job of earlier batches.
+    """
+    schema = "doc_id bigint, job_id bigint, cancelled_by bigint, last boolean, at_batch bigint"
 
-def once_per_status(statuses: DataFrame, limit: str = "24 hours") -> DataFrame:
-    """A final status of an attachment's job counts once within the time limit."""
-    return statuses.withWatermark("ts", limit).dropDuplicatesWithinWatermark(["job_id", "attachment", "status"])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        linked = with_next(batch, ["doc_id"], chunk, order, ["job_id"]).select(
+            "doc_id", "job_id", F.col("next_job_id").alias("cancelled_by"), F.col("next_job_id").isNull().alias("last"))
+        earlier = _read_before(spark, store, schema, batch_id)
+        opened = earlier.where("last").groupBy("doc_id").agg(F.max_by("job_id", "at_batch").alias("job_id"))
+        first = batch.groupBy("doc_id").agg(
+            F.min_by("job_id", F.struct(*[named(c) for c in order])).alias("cancelled_by"))
+        carried = opened.join(first, "doc_id").select("doc_id", "job_id", "cancelled_by", F.lit(False).alias("last"))
+        _write_batch(linked.unionByName(carried), store, batch_id)
 
+    writer = jobs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
 
-def supersede_open(jobs: DataFrame, limit: str = "24 hours") -> DataFrame:
-    """Cancellation rows: a newer job of a document cancels the one still open.
 
-    ``jobs``: ``doc_id, job_id, ts``. Rows of a micro-batch are taken in time order.
-    """
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values(["ts", "job_id"], kind="stable")
-        chain = ([int(state.get[0])] if state.exists else []) + [int(j) for j in rows["job_id"]]
-        state.update((chain[-1],))
-        if len(chain) > 1:
-            yield pd.DataFrame({"doc_id": int(key[0]), "job_id": chain[:-1], "cancelled_by": chain[1:]})
-
-    return jobs.groupBy("doc_id").applyInPandasWithState(
-        step, "doc_id bigint, job_id bigint, cancelled_by bigint", "open_job bigint", "append", GroupStateTimeout.NoTimeout)
+def cancellations(spark: SparkSession, store: str) -> DataFrame:
+    return spark.read.parquet(store).where("cancelled_by is not null").select("doc_id", "job_id", "cancelled_by")
