@@ -15,6 +15,7 @@ from provender.functions.typing import as_bit, as_decimal, as_text
 from provender.operators import headers as H
 from provender.operators import merge as M
 from provender.operators.rows import conform, export_text, scrub_date_bleed
+from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.registry import (
     BUSINESS_KEY, CREATED_AT, DISTRIBUTOR, INCIDENT_DATE, KEY, LONG_GLN, LONG_NAME, RECEIVER, SHORT_GLN, SHORT_NAME,
@@ -22,17 +23,8 @@ from provender.registry import (
 )
 from provender.sources.incidents import snapshot_text
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+catalog = Catalog()
+QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
 
 
 def text(name: str):
