@@ -36,7 +36,7 @@ def policies(spark: SparkSession, sf: str) -> DataFrame:
     expires = F.when(F.col("l_partkey") % 41 == 0, F.lit("1900-12-30").cast("timestamp_ntz")).otherwise(F.col("l_shipdate"))
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("supplier_id"), F.col("l_orderkey").alias("doc_id"),
-        (F.col("l_orderkey") * 10**12 + F.col("l_linenumber") * 10**11 + F.col("l_partkey") * 10**4 + F.col("l_suppkey")).alias("ord"),
+        (F.col("l_orderkey") * 10**12 + F.col("l_linenumber").cast("bigint") * 10**11 + F.col("l_partkey") * 10**4 + F.col("l_suppkey")).alias("ord"),
         F.concat(F.lit("c"), text(F.col("l_orderkey")), F.lit("-"), text(F.col("l_linenumber"))).alias("cert_id"),
         kind.alias("type"),
         F.when(F.col("l_linenumber") != 4, F.concat(F.lit("P"), text(F.col("l_partkey") % 3))).alias("number"),
