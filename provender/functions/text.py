@@ -30,14 +30,20 @@ def nonempty(c: Column) -> Column:
 
 
 def clean_cell(c: Column) -> Column:
-    """Trim, unwrap ``="value"`` and drop one leading apostrophe."""
-    unwrapped = F.regexp_replace(strip(c), r'^=\s*"([^"]*)"\s*$', "$1")
-    return F.regexp_replace(unwrapped, "^'", "")
+    """Trim, unwrap ``="value"`` and drop one leading apostrophe.
+
+    Few cells are wrapped, so the pattern runs only on those that start like it.
+    """
+    text = strip(c)
+    inner = F.regexp_replace(text, r'^=\s*"([^"]*)"\s*$', "$1")
+    unwrapped = F.when(text.startswith("="), inner).otherwise(text)
+    return F.when(unwrapped.startswith("'"), F.substring(unwrapped, F.lit(2), F.length(unwrapped))).otherwise(unwrapped)
 
 
 def leading_int(c: Column) -> Column:
     """The integer a text starts with, else null."""
-    return F.regexp_extract(c.cast("string"), r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
+    text = c.cast("string")
+    return F.coalesce(text.try_cast("bigint"), F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint"))
 
 
 def int_or_zero(c: Column) -> Column:

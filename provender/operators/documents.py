@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provender.functions.text import named
+from provender.session import constant_table
 
 # ---------------------------------------------------------------------------
 # Document type name and the short name it is filed under.
@@ -145,7 +146,7 @@ FINAL_STATUSES = ("success", "failure")
 
 def type_table(spark: SparkSession) -> DataFrame:
     """Type name to short name; the reverse lookup uses the same table."""
-    return spark.createDataFrame(list(DOCUMENT_TYPES), "type_name string, slug string")
+    return constant_table(spark, DOCUMENT_TYPES, ["type_name", "slug"])
 
 
 def with_lookup(df: DataFrame, lookup: DataFrame, on: str, key: str, value: str, default: str | None = None) -> DataFrame:
@@ -288,11 +289,10 @@ def completion(attachments: DataFrame, expected: DataFrame) -> DataFrame:
     final = attachments.where(F.col("status").isin(*FINAL_STATUSES))
     # The last final status of an attachment is the one that counts.
     per = final.groupBy("job_id", "attachment").agg(
-        F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
+        F.max_by(F.col("status") == "success", "seq").alias("ok"), F.max("seq").alias("seq"))
     done = per.groupBy("job_id").agg(
-        F.count("*").alias("n_final"), F.count_if(F.col("status") == "success").alias("n_success"),
-        F.min_by(F.when(F.col("status") == "success", F.col("attachment")),
-                 F.when(F.col("status") == "success", F.col("seq"))).alias("chosen"))
+        F.count("*").alias("n_final"), F.count_if("ok").alias("n_success"),
+        F.min_by("attachment", F.when(F.col("ok"), F.col("seq"))).alias("chosen"))
     joined = expected.join(done, "job_id", "left")
     return joined.select(
         "job_id", "n_expected",

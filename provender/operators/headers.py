@@ -80,6 +80,8 @@ PROPOSALS = (
 )
 # ---------------------------------------------------------------------------
 
+# Wider projections run without whole-stage code generation by default.
+CODEGEN_WIDTH = 100
 BRACKETED = re.compile(r" \((?:[^()/]+/)+[^()/]+\)")
 
 
@@ -307,21 +309,26 @@ def lineage(headers: Sequence[str], registry: Registry, overrides: Sequence[tupl
 def positional(df: DataFrame, headers: Sequence[str]) -> DataFrame:
     """Name the positional columns of a file by its header row.
 
-    Cells are cleaned in one array expression, which stays cheap for several
-    hundred columns. Repeated headers give one column with the first non-empty
-    value; blank headers are dropped; ``GTIN`` is null if all copies are empty.
+    Repeated headers give one column with the first non-empty value; blank
+    headers are dropped; ``GTIN`` is null if all copies are empty. Up to the
+    width Spark generates code for, each column is cleaned on its own; wider
+    rows are cleaned in one array expression, which then costs less.
     """
-    cells = df.select(
-        *[c for c in df.columns if c.startswith("_meta_")],
-        F.transform(F.array(*[named(c) for c in df.columns if not c.startswith("_meta_")]), clean_cell).alias("cells"),
-    )
+    meta = [named(c) for c in df.columns if c.startswith("_meta_")]
+    raw = [named(c) for c in df.columns if not c.startswith("_meta_")]
+    if len(raw) <= CODEGEN_WIDTH:
+        cells = df.select(*meta, *[clean_cell(c).alias(f"_cell{i}") for i, c in enumerate(raw)])
+        at_place = [F.col(f"_cell{i}") for i in range(len(raw))]
+    else:
+        cells = df.select(*meta, F.transform(F.array(*raw), clean_cell).alias("cells"))
+        at_place = [F.get("cells", F.lit(i)) for i in range(len(raw))]
     places: dict[str, list[int]] = {}
     for i, header in enumerate(headers):
         if header and header.strip():
             places.setdefault(header.strip(), []).append(i)
-    out = [named(c) for c in df.columns if c.startswith("_meta_")]
+    out = list(meta)
     for header, at in places.items():
-        cell = [F.get("cells", F.lit(i)) for i in at]
+        cell = [at_place[i] for i in at]
         if len(at) == 1 and header != "GTIN":
             out.append(cell[0].alias(header))
             continue
@@ -337,17 +344,25 @@ def union_by_header_set(parts: Sequence[tuple[Sequence[str], DataFrame]], regist
     return reduce(lambda a, b: a.unionByName(b), resolved)
 
 
-def mapping_usage(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+def cell_counts(df: DataFrame, file: Column, headers: Sequence[str]) -> DataFrame:
+    """Rows and filled cells per (file, header) of files that share a header set.
+
+    All headers are counted side by side in one aggregate; only the counts are
+    turned into rows.
+    """
+    counted = df.groupBy(file.alias("file")).agg(
+        F.count("*").alias("n_rows"), *[F.count(nonblank(named(h))).alias(f"_n{i}") for i, h in enumerate(headers)])
+    rows = F.array(*[F.struct(F.lit(h).alias("header"), F.col(f"_n{i}").alias("n_filled")) for i, h in enumerate(headers)])
+    return counted.select("file", "n_rows", F.inline(rows))
+
+
+def mapping_usage(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows and filled cells per (file, header, target) over a landed corpus.
 
-    ``cells`` holds ``file``, ``header``, ``value``, one row per cell; ``pairs``
-    is the lineage (``header``, ``target``), at most the registry's size, so it
-    is broadcast. The cells are counted per file and header before the join.
+    ``counts`` is the union of :func:`cell_counts`; ``pairs`` is the lineage
+    (``header``, ``target``), at most the registry's size.
     """
-    counted = cells.groupBy("file", "header").agg(
-        F.count("*").alias("n_rows"), F.count(nonblank(F.col("value"))).alias("n_filled"))
-    return counted.join(F.broadcast(pairs), "header", "left").select(
-        "file", "header", "target", "n_rows", "n_filled")
+    return counts.join(F.broadcast(pairs), "header", "left").select("file", "header", "target", "n_rows", "n_filled")
 
 
 def mapping_table(usage: DataFrame) -> DataFrame:

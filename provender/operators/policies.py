@@ -75,36 +75,49 @@ def compose_policies(policies: DataFrame, keys: Sequence[str], as_of: Column,
     supplier over its policy numbers, the second reduces before it shuffles.
     """
     types = types or SLOT_TYPES
-    active = is_active(F.col("expire_date"), as_of)
-    payload = F.struct("effective_date", "expire_date", "per_statute",
-                       *[int_or_zero(F.col(m)).alias(m) for m in MONEY_FIELDS])
-    once = (
-        policies.groupBy(
-            *[named(k) for k in keys], "type", "number",
-            F.when(F.col("number").isNull(), F.col("ord")).alias("_own"))
-        .agg(
-            F.min_by(F.when(active, payload), F.when(active, F.col("ord"))).alias("p"),
-            F.min(F.when(~is_placeholder(F.col("expire_date")), F.col("expire_date"))).alias("min_expire"),
-            F.count("*").alias("n"),
-        )
-    )
-    aggs = [F.min("min_expire").alias("min_expire"), F.sum("n").alias("n_policies")]
+    slot_of = None
     for slot, type_name in types.items():
-        mine = (F.col("type") == type_name) & F.col("p").isNotNull()
-
-        def when(field: str, mine: Column = mine) -> Column:
-            return F.when(mine, F.col("p").getField(field))
-
+        hit = F.col("type") == type_name
+        slot_of = F.when(hit, slot) if slot_of is None else slot_of.when(hit, slot)
+    widest = max(len(f) for f in SLOT_FIELDS.values())
+    rows = policies.select(
+        *[named(k) for k in keys], "number", "ord", "expire_date", "effective_date",
+        slot_of.otherwise(F.concat(F.lit("other:"), F.col("type"))).alias("_slot"),
+        # Only the money fields of a policy's own type are read.
+        *[_money(types, place).alias(f"_m{place}") for place in range(widest)],
+        F.col("per_statute").eqNullSafe(F.lit("1")).alias("_statute"))
+    # Ordered by ord where active; all buffers are fixed width, so this stays a hash aggregate.
+    at = F.when(is_active(F.col("expire_date"), as_of), F.col("ord"))
+    kept = ["effective_date", "expire_date", *[f"_m{i}" for i in range(widest)], "_statute"]
+    once = rows.groupBy(
+        *[named(k) for k in keys], "_slot", "number", F.when(F.col("number").isNull(), F.col("ord")).alias("_own")
+    ).agg(
+        F.count(at).alias("_active"), *[F.min_by(c, at).alias(c) for c in kept],
+        F.min(F.when(~is_placeholder(F.col("expire_date")), F.col("expire_date"))).alias("min_expire"),
+        F.count("*").alias("n"))
+    aggs = [F.min("min_expire").alias("min_expire"), F.sum("n").alias("n_policies")]
+    for slot in types:
+        mine = (F.col("_slot") == slot) & (F.col("_active") > 0)
         aggs += [F.count_if(mine).alias(f"{slot}_n"),
-                 F.min(when("effective_date")).alias(f"{slot}_effective"),
-                 F.min(when("expire_date")).alias(f"{slot}_expire")]
-        aggs += [F.sum(when(f)).alias(f"{slot}_{f}") for f in SLOT_FIELDS[slot]]
+                 F.min(F.when(mine, F.col("effective_date"))).alias(f"{slot}_effective"),
+                 F.min(F.when(mine, F.col("expire_date"))).alias(f"{slot}_expire")]
+        aggs += [F.sum(F.when(mine, F.col(f"_m{i}"))).alias(f"{slot}_{f}") for i, f in enumerate(SLOT_FIELDS[slot])]
         if slot == "wcel":
-            aggs.append(F.when(F.count_if(mine) > 0, F.count_if(
-                mine & ~F.col("p.per_statute").eqNullSafe(F.lit("1"))) == 0).alias("wcel_per_statute"))
+            aggs.append(F.when(F.count_if(mine) > 0, F.count_if(mine & ~F.col("_statute")) == 0).alias("wcel_per_statute"))
     return once.groupBy(*[named(k) for k in keys]).agg(*aggs)
 
 
+def _money(types: dict[str, str], place: int) -> Column:
+    """The money field at a place of a policy's own slot."""
+    out = None
+    for slot, type_name in types.items():
+        if place < len(SLOT_FIELDS[slot]):
+            value = int_or_zero(F.col(SLOT_FIELDS[slot][place]))
+            hit = F.col("type") == type_name
+            out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out
+
+
 def certificate_members(policies: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Which certificates make up a supplier's combined one, one row each."""
     return policies.select(*[named(k) for k in keys], "cert_id").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from provender.functions.text import drop_commas, named
 from provender.operators.merge import latest_per_key
+from provender.session import constant_table
 
 # ---------------------------------------------------------------------------
 # Report text of a job error.
@@ -60,7 +61,7 @@ ASSESSMENT_STATES = (("Approved", "B1"), ("Rejected", "B2"), ("Submitted", "B3")
 
 
 def error_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ERROR_LABELS), "error_code string, label string")
+    return constant_table(spark, ERROR_LABELS, ["error_code", "label"])
 
 
 def error_counts(jobs: DataFrame, code: str = "error_code") -> DataFrame:
@@ -173,9 +174,11 @@ def funnel(docs: DataFrame) -> DataFrame:
 def funnel_counts(flagged: DataFrame) -> DataFrame:
     """Documents per node; every node is listed, with its description and remedy."""
     spark = flagged.sparkSession
-    nodes = spark.createDataFrame(list(FUNNEL_NODES), "node string, description string")
-    remedies = spark.createDataFrame(list(FUNNEL_REMEDIES), "node string, remedy string")
-    counts = flagged.select(F.explode("nodes").alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    nodes = constant_table(spark, FUNNEL_NODES, ["node", "description"])
+    remedies = constant_table(spark, FUNNEL_REMEDIES, ["node", "remedy"])
+    # Few distinct ways through the funnel exist; count those, then their nodes.
+    ways = flagged.groupBy("nodes").agg(F.count("*").alias("n"))
+    counts = ways.select("n", F.explode("nodes").alias("node")).groupBy("node").agg(F.sum("n").alias("n"))
     return nodes.join(F.broadcast(remedies), "node", "left").join(counts, "node", "left").select(
         "node", "description", "remedy", F.coalesce("n", F.lit(0)).alias("n"))
 

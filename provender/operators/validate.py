@@ -61,14 +61,17 @@ def template_columns(assessments: DataFrame) -> DataFrame:
         .select("assessment_id", "i", F.posexplode("s.subsections").alias("j", "b"))
         .select("assessment_id", "i", "j", F.posexplode("b.questions").alias("k", "q"))
     )
-    umbrella_id = F.filter("q.columns", lambda c: c["name"] == UMBRELLA)[0]["id"]
-    rows = questions.withColumn("umbrella_id", F.when(
-        F.exists("q.columns", lambda c: c["name"] == UMBRELLA), umbrella_id)).select(
-        "assessment_id", "i", "j", "k", F.col("q.answers").alias("answers"), "umbrella_id",
-        F.posexplode("q.columns").alias("n", "c"))
-    answer = F.get(F.filter("answers", lambda a: a["column"] == F.col("c.id")), F.lit(0))
-    umbrella = F.get(F.filter("answers", lambda a: a["column"] == F.col("umbrella_id")), F.lit(0))
-    return rows.withColumns({"answer": answer, "umbrella": umbrella["answer_numeric"]}).drop("answers")
+    umbrella_id = F.get(F.filter("q.columns", lambda c: c["name"] == UMBRELLA), F.lit(0))["id"]
+    # The answers are looked up by column id; an id answered twice counts once.
+    by_id = F.map_from_entries(F.reverse(F.array_distinct(F.transform(
+        "q.answers", lambda a: F.struct(a["column"].alias("k"), F.struct(a["answer_numeric"], a["answer_bool"]).alias("v"))))))
+    looked_up = questions.select("assessment_id", "i", "j", "k", F.col("q.columns").alias("columns"),
+                                 umbrella_id.alias("umbrella_id"), by_id.alias("answers"))
+    rows = looked_up.select(
+        "assessment_id", "i", "j", "k", "answers",
+        F.try_element_at("answers", F.col("umbrella_id"))["answer_numeric"].alias("umbrella"),
+        F.posexplode("columns").alias("n", "c"))
+    return rows.withColumn("answer", F.try_element_at("answers", F.col("c.id"))).drop("answers")
 
 
 def generic_violation(c: Column) -> tuple[Column, Column]:
@@ -111,6 +114,8 @@ def check_template(assessments: DataFrame, insurance: bool) -> DataFrame:
     rows = template_columns(assessments)
     c = F.col("c")
     failed, _ = insurance_violation(c, F.col("answer"), F.col("umbrella")) if insurance else generic_violation(c)
+    rows = rows.select("assessment_id", failed.alias("failed"))
+    failed = F.col("failed")
     return rows.groupBy("assessment_id").agg(
         F.bool_or(failed).alias("failed"), F.count_if(failed).cast("bigint").alias("n_failed"))
 

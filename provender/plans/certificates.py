@@ -16,6 +16,7 @@ from provender.operators.merge import latest_per_key
 from provender.operators.ordered import with_position
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
+from provender.session import spread
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -34,7 +35,7 @@ def policies(spark: SparkSession, sf: str) -> DataFrame:
     base = F.floor("l_extendedprice").cast("bigint")
     amount = lambda times: F.when(F.col("l_suppkey") % 10 == 0, "n/a").otherwise(F.concat(text(base * times), F.lit(".50")))
     expires = F.when(F.col("l_partkey") % 41 == 0, F.lit("1900-12-30").cast("timestamp_ntz")).otherwise(F.col("l_shipdate"))
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+    return spread(li).join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("supplier_id"), F.col("l_orderkey").alias("doc_id"),
         (F.col("l_orderkey") * 10**12 + F.col("l_linenumber").cast("bigint") * 10**11 + F.col("l_partkey") * 10**4 + F.col("l_suppkey")).alias("ord"),
         F.concat(F.lit("c"), text(F.col("l_orderkey")), F.lit("-"), text(F.col("l_linenumber"))).alias("cert_id"),

@@ -10,6 +10,7 @@ from provender.operators import validate as V
 from provender.operators.reports import pointer
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
+from provender.session import spread
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -305,7 +306,7 @@ def _assessments(spark: SparkSession, sf: str) -> DataFrame:
                 answer("w", none, F.lit(False))).alias("answers"))
     sections = F.array(F.struct(F.array(F.struct(F.array(question).alias("questions"))).alias("subsections")))
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return li.select(key.alias("assessment_id"), sections.alias("sections"))
+    return spread(li).select(key.alias("assessment_id"), sections.alias("sections"))
 
 
 @query("""

@@ -21,6 +21,7 @@ from provender.registry import (
     BUSINESS_KEY, CREATED_AT, DISTRIBUTOR, INCIDENT_DATE, KEY, LONG_GLN, LONG_NAME, RECEIVER, SHORT_GLN, SHORT_NAME,
     UPDATED_AT, Registry,
 )
+from provender.session import constant_table, spread
 from provender.sources.incidents import snapshot_text
 
 catalog = Catalog()
@@ -186,17 +187,15 @@ CORPUS_HEADERS = {
 
 def _corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, Registry]:
     li = table(spark, sf, "lineitem")
-    cells = F.array(*[
-        F.struct(F.lit(h).alias("header"),
-                 (F.date_format(c, "yyyy-MM-dd") if c == "l_shipdate" else
-                  F.when(F.col("l_linestatus") == "O", text(c)).otherwise("") if c == "l_linestatus" else text(c)).alias("value"))
+    files = li.select(F.col("l_returnflag").alias("file"), *[
+        (F.when(F.col(c) == "O", text(c)).otherwise("") if c == "l_linestatus" else text(c)).alias(h)
         for c, h in CORPUS_HEADERS.items()])
     registry = Registry.core().extended([("Incident Details", "VARCHAR(max)", True)])
-    return li.select(F.col("l_returnflag").alias("file"), F.inline(cells)), registry
+    return H.cell_counts(files, F.col("file"), list(CORPUS_HEADERS.values())), registry
 
 
 def _pairs(spark: SparkSession, registry: Registry) -> DataFrame:
-    return spark.createDataFrame(H.lineage(list(CORPUS_HEADERS.values()), registry), "header string, target string")
+    return constant_table(spark, H.lineage(list(CORPUS_HEADERS.values()), registry), ["header", "target"])
 
 
 @query(f"""
@@ -234,9 +233,9 @@ UNION ALL SELECT 'Observation', 'Incident Details', true, (SELECT count(*) FROM
 def q_proposed_mappings(spark: SparkSession, sf: str) -> DataFrame:
     """Fixed proposals for the headers seen; usable when the whitelist has the target."""
     cells, registry = _corpus(spark, sf)
-    seen = cells.groupBy("header").agg(F.count("*").alias("n_rows"))
-    proposals = spark.createDataFrame(list(H.PROPOSALS), "source string, target string")
-    targets = spark.createDataFrame([(n,) for n in registry.active_names()], "target string")
+    seen = cells.groupBy("header").agg(F.sum("n_rows").alias("n_rows"))
+    proposals = constant_table(spark, H.PROPOSALS, ["source", "target"])
+    targets = constant_table(spark, [(n,) for n in registry.active_names()], ["target"])
     usable = H.proposed_mappings(seen, proposals, targets).withColumn("usable", F.lit(True))
     return (proposals.join(seen.withColumnRenamed("header", "source"), "source")
             .join(usable, ["source", "target"], "left")
@@ -256,11 +255,10 @@ def q_unfed_columns(spark: SparkSession, sf: str) -> DataFrame:
         (KEY, "VARCHAR(100)", False), (CREATED_AT, "DATE", False), ("Description", "VARCHAR(max)", True),
         ("Due Date", "DATETIME", True), ("Affected Quantity", "DECIMAL(38, 2)", True),
         ("quantityAffected (Quantity Affected/Affected Quantity)", "DECIMAL(38, 2)", False)])
-    pairs = spark.createDataFrame(H.lineage(list(CORPUS_HEADERS.values()), small), "header string, target string")
+    pairs = constant_table(spark, H.lineage(list(CORPUS_HEADERS.values()), small), ["header", "target"])
     usage = H.mapping_usage(cells, pairs)
-    registry = spark.createDataFrame([(s.name, s.kind, not s.nullable) for s in small.active()],
-                                     "target string, kind string, required boolean")
-    total = cells.where(F.col("header") == KEY).agg(F.count("*").alias("n_rows"))
+    registry = constant_table(spark, [(s.name, s.kind, not s.nullable) for s in small.active()], ["target", "kind", "required"])
+    total = cells.where(F.col("header") == KEY).agg(F.sum("n_rows").alias("n_rows"))
     unfed = H.unfed_columns(usage, registry).groupBy("required").agg(F.count("*").alias("n_columns"))
     return unfed.crossJoin(total)  # two rows against one total
 
@@ -386,6 +384,7 @@ def q_key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
 
 def _incident_text(o: DataFrame, updated: bool) -> DataFrame:
     """Orders as dirty incident text; an update lacks some values."""
+    o = spread(o)
     key = F.col("o_orderkey")
     gone = (key % 4 == 0) if updated else F.lit(False)
     return o.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,29 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def constant_table(spark: SparkSession, rows: Iterable[Sequence], columns: Sequence[str]) -> DataFrame:
+    """A table of fixed values, known to the optimizer with its size."""
+    def cell(value: object) -> str:
+        if value is None or isinstance(value, bool):
+            return {True: "true", False: "false", None: "null"}[value]
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    values = ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give row work to all cores when the scan has fewer tasks than there are cores.
+
+    A large table has many splits and is returned as it is; only a small one
+    that would run as a single task is redistributed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 

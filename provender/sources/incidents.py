@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from provender.functions.text import named, strip
-from provender.operators.headers import HeaderPlan, positional, union_by_header_set
+from provender.operators.headers import HeaderPlan, cell_counts, positional, union_by_header_set
 from provender.operators.rows import conform
 from provender.registry import Registry
 
@@ -84,15 +84,14 @@ def read_incidents(spark: SparkSession, path: str | Sequence[str], registry: Reg
     return conform(union_by_header_set(parts, registry, overrides), registry)
 
 
-def corpus_cells(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> tuple[DataFrame, list[str]]:
-    """Every cell of a landed corpus as (file, header, value), and all headers seen."""
+def corpus_counts(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+    """Rows and filled cells per (file, header) of a landed corpus, and all headers seen."""
     parts, seen = [], []
     for headers, paths in header_sets(spark, path):
         df = read_window_files(spark, paths, headers, multi_line)
         names = [c for c in df.columns if c != "_meta_file"]
         seen += [n for n in names if n not in seen]
-        cells = F.array(*[F.struct(F.lit(n).alias("header"), named(n).alias("value")) for n in names])
-        parts.append(df.select(F.col("_meta_file").alias("file"), F.inline(cells)))
+        parts.append(cell_counts(df, F.col("_meta_file"), names))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -121,5 +120,5 @@ def whitelist_header(spark: SparkSession, path: str) -> list[str] | None:
     return found[0][0] if found else None
 
 
-__all__ = ["HeaderPlan", "corpus_cells", "header_sets", "read_incidents", "read_snapshot", "read_window_files",
+__all__ = ["HeaderPlan", "corpus_counts", "header_sets", "read_incidents", "read_snapshot", "read_window_files",
            "snapshot_text", "whitelist_header"]
