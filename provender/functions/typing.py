@@ -10,8 +10,7 @@ from provender.functions.text import strip
 
 # Words a text column treats as missing.
 MISSING_WORDS = ("", "na", "n/a")
-# Fixed value: the largest whole number a double holds exactly.
-EXACT_MAX = 9_007_199_254_740_991
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def as_bit(c: Column, legacy_yes_no: bool = False) -> Column:
@@ -29,7 +28,8 @@ def as_decimal(c: Column, scale: int) -> Column:
     """Number of a text; blank text counts as 0, a missing cell stays null."""
     kind = f"decimal(38,{scale})"
     text = strip(c)
-    return F.when(text == "", F.lit(0).cast(kind)).otherwise(text.try_cast(kind))
+    # The shape test keeps text that is no number away from the slow failing cast.
+    return F.when(text == "", F.lit(0).cast(kind)).when(text.rlike(NUMBER), text.try_cast(kind))
 
 
 def as_text(c: Column) -> Column:

@@ -62,9 +62,10 @@ def template_columns(assessments: DataFrame) -> DataFrame:
         .select("assessment_id", "i", "j", F.posexplode("b.questions").alias("k", "q"))
     )
     umbrella_id = F.get(F.filter("q.columns", lambda c: c["name"] == UMBRELLA), F.lit(0))["id"]
-    # The answers are looked up by column id; an id answered twice counts once.
-    by_id = F.map_from_entries(F.reverse(F.array_distinct(F.transform(
-        "q.answers", lambda a: F.struct(a["column"].alias("k"), F.struct(a["answer_numeric"], a["answer_bool"]).alias("v"))))))
+    # Answers by column id, worked out once per question; the first answer of an id counts.
+    ids = F.array_distinct(F.transform("q.answers", lambda a: a["column"]))
+    by_id = F.map_from_arrays(ids, F.transform(
+        ids, lambda i: F.get(F.filter("q.answers", lambda a: a["column"] == i), F.lit(0))))
     looked_up = questions.select("assessment_id", "i", "j", "k", F.col("q.columns").alias("columns"),
                                  umbrella_id.alias("umbrella_id"), by_id.alias("answers"))
     rows = looked_up.select(
