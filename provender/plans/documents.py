@@ -197,7 +197,7 @@ def q_error_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH e AS (SELECT o_orderkey AS job_id, 1 + o_custkey % 4 AS n_expected FROM orders),
-s AS (SELECT l_orderkey AS job_id, l_linenumber AS attachment, l_suppkey * 100000000 + l_partkey AS seq,
+s AS (SELECT l_orderkey AS job_id, l_linenumber AS attachment, l_partkey * 1000000000 + l_linenumber * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS seq,
   CASE WHEN l_returnflag = 'A' THEN 'running' WHEN l_linestatus = 'O' THEN 'success' ELSE 'failure' END AS status FROM lineitem),
 p AS (SELECT job_id, attachment, max_by(status, seq) AS status, max(seq) AS seq FROM s WHERE status <> 'running' GROUP BY 1, 2),
 g AS (SELECT job_id, count(*) AS n_final, count(*) FILTER (WHERE status = 'success') AS n_success,
@@ -210,7 +210,8 @@ def q_attachment_completion(spark: SparkSession, sf: str) -> DataFrame:
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     status = F.when(F.col("l_returnflag") == "A", "running").when(F.col("l_linestatus") == "O", "success").otherwise("failure")
     events = li.select(F.col("l_orderkey").alias("job_id"), F.col("l_linenumber").alias("attachment"), status.alias("status"),
-                       (F.col("l_suppkey") * 100000000 + F.col("l_partkey")).alias("seq"))
+                       (F.col("l_partkey") * 10**9 + F.col("l_linenumber").cast("bigint") * 10**8
+                        + F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("seq"))
     expected = o.select(F.col("o_orderkey").alias("job_id"), (1 + F.col("o_custkey") % 4).alias("n_expected"))
     return D.completion(events, expected)
 
