@@ -101,7 +101,7 @@ def corpus_counts(spark: SparkSession, path: str | Sequence[str], multi_line: bo
 def read_snapshot(spark: SparkSession, path: str, key: str, columns: Sequence[str]) -> DataFrame:
     """A table export for a dry run: the word NULL is null, blank text stays blank."""
     raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue="\u0000", emptyValue="")
-    return raw.where(strip(named(key)) != "").select(strip(named(key)).alias(key), *[snapshot_text(named(c)).alias(c) for c in columns])
+    return raw.where(strip(named(key)) != "").select(strip(named(key)).alias(key), *[snapshot_text(F.coalesce(named(c), F.lit(""))).alias(c) for c in columns])
 
 
 def snapshot_text(c: Column) -> Column:
