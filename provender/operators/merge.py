@@ -121,15 +121,21 @@ def bytes_key(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
-def detect_changes(stored: DataFrame, incoming: DataFrame, key: str, compare: Sequence[str], force: bool = False) -> DataFrame:
+def detect_changes(stored: DataFrame, incoming: DataFrame, key: str, compare: Sequence[str], force: bool = False,
+                   by_hash: bool = False) -> DataFrame:
     """Incoming items that are new or differ from the stored copy.
 
     ``change`` is ``added`` or ``changed``; with ``force`` an equal item is
-    written too, as ``forced``. Both sides hold one row per key.
+    written too, as ``forced``. Both sides hold one row per key. ``by_hash``
+    compares version keys, so a stored row is shuffled as its key and hash only;
+    columns that cannot be compared directly (maps) need it too.
     """
-    s = stored.select(named(key), F.struct(*[named(c) for c in compare]).alias("_old"))
+    def look() -> Column:
+        return content_hash(compare) if by_hash else F.struct(*[named(c) for c in compare])
+
+    s = stored.select(named(key), look().alias("_old"))
     joined = incoming.join(s.withColumn("_seen", F.lit(True)), key, "left")
-    new = F.struct(*[named(c) for c in compare])
+    new = look()
     change = F.when(F.col("_seen").isNull(), "added").when(~new.eqNullSafe(F.col("_old")), "changed")
     if force:
         change = change.otherwise("forced")

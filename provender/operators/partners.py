@@ -55,8 +55,8 @@ def attach_ids(resolved: DataFrame, owners: DataFrame, key: str) -> DataFrame:
     """Per element: ids it may take, ids another partner holds, and the completeness reason.
 
     An id owned elsewhere is not attached and is reported; a new partner
-    without a back-office id is incomplete. Only counts and the lists of an
-    element's own ids are built, so no group grows with the data.
+    without a back-office id is incomplete. The sets hold an element's own ids,
+    however often the element is repeated, so no group grows with the data.
     """
     one = owners.groupBy("xid").agg(F.min("masterid").alias("owner"))
     flat = resolved.select(named(key), "masterid", "is_new", F.posexplode("external_ids").alias("place", "xid"))
@@ -65,10 +65,10 @@ def attach_ids(resolved: DataFrame, owners: DataFrame, key: str) -> DataFrame:
     return joined.groupBy(named(key)).agg(
         F.first("masterid").alias("masterid"),
         F.first("is_new").alias("is_new"),
-        F.count("*").alias("n_ids"),
-        F.array_join(F.array_sort(F.collect_list(F.when(~taken, F.col("xid")))), ",").alias("attached"),
-        F.array_join(F.array_sort(F.collect_list(F.when(taken, F.col("xid")))), ",").alias("conflicts"),
-    ).withColumn("reason", completeness(F.col("is_new"), F.col("n_ids") > 1, F.col("conflicts")))
+        F.count_if(F.col("place") > 0).alias("n_office"),
+        F.array_join(F.array_sort(F.collect_set(F.when(~taken, F.col("xid")))), ",").alias("attached"),
+        F.array_join(F.array_sort(F.collect_set(F.when(taken, F.col("xid")))), ",").alias("conflicts"),
+    ).withColumn("reason", completeness(F.col("is_new"), F.col("n_office") > 0, F.col("conflicts"))).drop("n_office")
 
 
 def completeness(is_new: Column, has_internal: Column, conflicts: Column) -> Column:

@@ -276,11 +276,13 @@ def assess(docs: DataFrame, composed: DataFrame, holders: DataFrame, parsing: Da
     ``docs`` has ``doc_id, supplier_id, declared_day``. ``legacy_truthy`` lets
     any workers' compensation text pass, also a "No".
     """
-    joined = docs.join(composed, "supplier_id", "left").join(holders, "doc_id", "left")
+    # Both supplier tables are aggregates on that key, so they meet without another
+    # shuffle, and the documents are shuffled for the supplier once.
     if parsing is not None:
-        joined = joined.join(parsing, "supplier_id", "left")
+        suppliers = composed.join(parsing, "supplier_id", "full_outer")
     else:
-        joined = joined.withColumns({"parsing_error": F.lit(False), "invalid_holder": F.lit(False)})
+        suppliers = composed.withColumns({"parsing_error": F.lit(False), "invalid_holder": F.lit(False)})
+    joined = docs.join(suppliers, "supplier_id", "left").join(holders, "doc_id", "left")
     joined = joined.withColumns({
         "wcel_n": F.coalesce("wcel_n", F.lit(0)),
         "holder_passed": F.coalesce("holder_passed", F.lit(False)),

@@ -159,6 +159,9 @@ def funnel(docs: DataFrame) -> DataFrame:
     for word, node in ASSESSMENT_STATES:
         s = F.when(c("assessment_state") == word, node) if s is None else s.when(c("assessment_state") == word, node)
     s = s.otherwise("B6")
+    # The stages become columns first, so that each is worked out once per row.
+    staged = docs.withColumns({"_a": a, "_b": b, "_c": c_, "_d": d, "_d2": d2, "_e": e, "_f": f, "_f2": f2, "_g": g, "_s": s})
+    a, b, c_, d, d2, e, f, f2, g, s = (c(x) for x in ("_a", "_b", "_c", "_d", "_d2", "_e", "_f", "_f2", "_g", "_s"))
     reached_c, reached_d = b == "b1", (b == "b1") & (c_ == "c1")
     reached_e = reached_d & (d == "d1")
     reached_f = reached_e & (e == "e1")
@@ -168,7 +171,8 @@ def funnel(docs: DataFrame) -> DataFrame:
         a, b, F.when(reached_c, c_), F.when(reached_d, d), F.when(reached_d & (d == "d2"), d2),
         F.when(reached_e, e), F.when(reached_f, f), F.when(reached_f & (f == "f2"), f2), F.when(reached_g, g),
         F.when(reached_s, "A1"), F.when(reached_s, F.when(yes(c("by_us")), "A1a").otherwise("A1b")), F.when(reached_s, s)))
-    return docs.withColumn("nodes", nodes).withColumn("node", F.element_at("nodes", -1))
+    return staged.withColumn("nodes", nodes).withColumn("node", F.element_at("nodes", -1)).select(
+        *[named(x) for x in docs.columns], "nodes", "node")
 
 
 def funnel_counts(flagged: DataFrame) -> DataFrame:

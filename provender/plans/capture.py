@@ -17,7 +17,8 @@ from provender.streaming import completion as ST
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
 
-HOUR = 3600
+# Ten minutes of one user are a chunk: a month of events gives a few thousand per user.
+CHUNK = 600
 
 
 @query("""
@@ -32,7 +33,7 @@ def q_change_capture(spark: SparkSession, sf: str) -> DataFrame:
         F.struct("c_name", "c_nationkey").alias("owner"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal")).alias("balance"))
     stored = c.where("item_id % 5 <> 0").withColumn(
         "balance", F.when(F.col("item_id") % 4 == 1, F.coalesce("balance", F.lit(0)) + 1).otherwise(F.col("balance")))
-    return M.detect_changes(stored, c, "item_id", ["segment", "owner", "balance"]).select("item_id", "segment", "change")
+    return M.detect_changes(stored, c, "item_id", ["segment", "owner", "balance"], by_hash=True).select("item_id", "segment", "change")
 
 
 @query("""
@@ -53,7 +54,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 def q_version_history(spark: SparkSession, sf: str) -> DataFrame:
     """Each version against the one before it, as a batch replay of the capture."""
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
-    out = with_previous(e, ["user_id"], time_chunk(F.col("ts"), 24 * HOUR), ["ts", "event_id"], ["event_type"])
+    out = with_previous(e, ["user_id"], time_chunk(F.col("ts"), CHUNK), ["ts", "event_id"], ["event_type"])
     change = F.when(F.col("prev_event_type").isNull(), "added").when(
         F.col("prev_event_type") != F.col("event_type"), "changed").otherwise("same")
     return out.select("event_id", "user_id", F.col("prev_event_type").alias("previous_type"), change.alias("change"))
@@ -78,7 +79,7 @@ FROM events
 def q_supersede(spark: SparkSession, sf: str) -> DataFrame:
     """A newer job of the same document cancels the earlier one."""
     e = table(spark, sf, "events").select(F.col("event_id").alias("job_id"), F.col("user_id").alias("doc_id"), "ts")
-    out = with_next(e, ["doc_id"], time_chunk(F.col("ts"), 24 * HOUR), ["ts", "job_id"], ["job_id"])
+    out = with_next(e, ["doc_id"], time_chunk(F.col("ts"), CHUNK), ["ts", "job_id"], ["job_id"])
     return out.select("job_id", "doc_id", F.col("next_job_id").alias("cancelled_by"),
                       F.when(F.col("next_job_id").isNull(), "open").otherwise("job-cancelled").alias("state"))
 
@@ -90,7 +91,7 @@ SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, e
 def q_group_position(spark: SparkSession, sf: str) -> DataFrame:
     """Place of a row in its group and the group's size."""
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return with_position(e, ["user_id"], time_chunk(F.col("ts"), 24 * HOUR), ["ts", "event_id"], "part", "n_parts").drop("ts")
+    return with_position(e, ["user_id"], time_chunk(F.col("ts"), CHUNK), ["ts", "event_id"], "part", "n_parts").drop("ts")
 
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -154,6 +155,6 @@ def q_stream_supersede(spark: SparkSession, sf: str) -> DataFrame:
     """Cancelled jobs from a stream of new ones."""
     base = scratch_dir(spark, "supersede")
     jobs = _event_stream(spark, sf).select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("job_id"), "ts")
-    ST.start_supersede(jobs, time_chunk(F.col("ts"), 24 * HOUR), ["ts", "job_id"], f"{base}/store", f"{base}/checkpoint"
+    ST.start_supersede(jobs, time_chunk(F.col("ts"), CHUNK), ["ts", "job_id"], f"{base}/store", f"{base}/checkpoint"
                        ).awaitTermination()
     return ST.cancellations(spark, f"{base}/store")

@@ -86,7 +86,7 @@ FROM f GROUP BY 1
 def q_partner_conflict(spark: SparkSession, sf: str) -> DataFrame:
     """Ids each business may take, ids another partner holds, and what makes it incomplete."""
     owners = P.id_owners(_partners(spark, sf))
-    return P.attach_ids(P.resolve(_elements(spark, sf), owners, "c_custkey"), owners, "c_custkey").drop("n_ids")
+    return P.attach_ids(P.resolve(_elements(spark, sf), owners, "c_custkey"), owners, "c_custkey")
 
 
 @query("""

@@ -42,8 +42,9 @@ def start_capture(
     spark = items.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, [key], order).withColumn("version", content_hash(compare))
-        stored = stored_versions(batch.sparkSession, store, key, before=batch_id)
+        latest = latest_per_key(batch, [key], order).withColumn("version", content_hash(compare)).persist()
+        # Only the stored rows of this batch's keys are looked at and shuffled.
+        stored = stored_versions(batch.sparkSession, store, key, before=batch_id, only=latest.select(named(key)))
         old = stored.select(named(key), F.col("version").alias("_version"))
         changed = latest.join(old, key, "left").withColumn(
             "change", F.when(F.col("_version").isNull(), "added").when(F.col("_version") != F.col("version"), "changed")
@@ -53,14 +54,16 @@ def start_capture(
         handled = F.lit(preexisting_handled and batch_id == 0)
         changed.withColumn("handled", handled).withColumn("at_batch", F.lit(batch_id).cast("bigint")).write.mode(
             "overwrite").parquet(f"{store}/{BATCH}={batch_id:012d}")
+        latest.unpersist()
 
     writer = items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def stored_versions(spark: SparkSession, store: str, key: str, before: int | None = None) -> DataFrame:
-    """Latest stored version per key, optionally only of earlier batches."""
+def stored_versions(spark: SparkSession, store: str, key: str, before: int | None = None,
+                    only: DataFrame | None = None) -> DataFrame:
+    """Latest stored version per key, optionally of earlier batches and of some keys."""
     from pyspark.errors import AnalysisException
 
     empty = spark.createDataFrame([], f"`{key}` bigint, version string")
@@ -70,6 +73,8 @@ def stored_versions(spark: SparkSession, store: str, key: str, before: int | Non
         return empty
     if before is not None:
         rows = rows.where(F.col("at_batch") < before)
+    if only is not None:
+        rows = rows.join(only, key, "left_semi")
     return rows.groupBy(named(key)).agg(F.max_by("version", "at_batch").alias("version"))
 
 

@@ -112,7 +112,7 @@ def start_supersede(jobs: DataFrame, chunk: Column, order: Sequence[str], store:
         linked = with_next(batch, ["doc_id"], chunk, order, ["job_id"]).select(
             "doc_id", "job_id", F.col("next_job_id").alias("cancelled_by"), F.col("next_job_id").isNull().alias("last"))
         earlier = _read_before(spark, store, schema, batch_id)
-        opened = earlier.where("last").groupBy("doc_id").agg(F.max_by("job_id", "at_batch").alias("job_id"))
+        opened = earlier.where("last").join(batch.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by("job_id", "at_batch").alias("job_id"))
         first = batch.groupBy("doc_id").agg(
             F.min_by("job_id", F.struct(*[named(c) for c in order])).alias("cancelled_by"))
         carried = opened.join(first, "doc_id").select("doc_id", "job_id", "cancelled_by", F.lit(False).alias("last"))
