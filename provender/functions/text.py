@@ -72,6 +72,15 @@ def join_present(sep: str, cols: Sequence[Column]) -> Column:
     return F.concat_ws(sep, *[nonempty(c) for c in cols])
 
 
+def present(*texts: Column) -> Column:
+    """Array of the distinct texts that are not null, in order.
+
+    ``array_compact`` would do, but it is a higher-order function, and Spark
+    runs the whole expression under one without generated code.
+    """
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
+
+
 def dollar(text: str) -> str:
     """A column name quoted for use in ``F.col``."""
     return "`" + text.replace("`", "``") + "`"

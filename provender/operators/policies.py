@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provender.functions.dates import is_active, is_placeholder
-from provender.functions.text import int_or_zero, named
+from provender.functions.text import int_or_zero, named, present
 
 # ---------------------------------------------------------------------------
 # Policy type of each slot and the money fields summed for it.
@@ -159,7 +159,7 @@ def _limit_result(limit: Limit, umbrella: Column, as_of: Column) -> Column:
     expired = ~missing & F.coalesce(expires < as_of, F.lit(True))
     passed = ~missing & ~warning & F.coalesce(effective >= limit.minimum, F.lit(False))
     including = F.when(umbrella > 0, " including Umbrella policy").otherwise("")
-    reasons = F.array_compact(F.array(
+    reasons = present(
         F.when(missing, f"No unexpired {limit.name} policies found"),
         F.when(~missing & expires.isNull(), f"{limit.name} policy has no expiration date"),
         F.when(expired & ~warning & expires.isNotNull(),
@@ -168,7 +168,7 @@ def _limit_result(limit: Limit, umbrella: Column, as_of: Column) -> Column:
         F.when(~missing & ~warning & ~passed, F.concat(
             F.lit(f"Insufficient {limit.long_name} coverage. {limit.minimum} is required. Coverage"),
             including, F.lit(" is only "), effective.cast("string"), F.lit("."))),
-    ))
+    )
     shown = (
         F.when(missing, "")
         .when(warning & expired, F.concat(value.cast("string"), F.lit(" (Confirm Effective Dates)")))
@@ -296,9 +296,7 @@ def assess(docs: DataFrame, composed: DataFrame, holders: DataFrame, parsing: Da
               & workers_ok & F.col("holder_passed"))
     reasons = F.concat(
         F.array_distinct(F.flatten(F.transform("limits", lambda x: x["reasons"]))),
-        F.array_compact(F.array(
-            F.col("workers_reason"),
-            F.when(~F.col("holder_passed"), "Holder info does not meet requirements."))))
+        present(F.col("workers_reason"), F.when(~F.col("holder_passed"), "Holder info does not meet requirements.")))
     extraction = F.concat(F.lit("PDF extraction errors occurred."),
                           F.when(F.col("invalid_holder"), " Invalid Holder info detected.").otherwise(""))
     out = checked.withColumns({

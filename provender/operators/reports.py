@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.functions.text import drop_commas, named
+from provender.functions.text import drop_commas, named, present
 from provender.operators.merge import latest_per_key
 from provender.session import constant_table
 
@@ -150,7 +150,8 @@ def funnel(docs: DataFrame) -> DataFrame:
     # The first update that says something known decides.
     kinds = F.transform("job_texts", lambda t: F.when(t.contains("recognized"), "d2c").when(t.contains("multi-COI"), "d2b")
                         .when(t.contains("OCR"), "d2a").when(t.contains("Valiadation"), "d2d"))
-    d2 = F.coalesce(F.get(F.array_compact(kinds), F.lit(0)), F.lit("d2e"))
+    first = F.get(F.filter(kinds, lambda k: k.isNotNull()), F.lit(0))
+    d2 = F.when(c("job_status") == "failure", F.coalesce(first, F.lit("d2e")))
     e = F.when(yes(c("has_result")), "e1").otherwise("e2")
     f = F.when(c("valid"), "f1").when(~c("valid"), "f2").otherwise("f3")
     f2 = F.when(yes(c("valid_message").contains("expired")), "f2a").when(yes(c("valid_message").contains("match")), "f2b")
@@ -167,10 +168,10 @@ def funnel(docs: DataFrame) -> DataFrame:
     reached_f = reached_e & (e == "e1")
     reached_g = reached_f & (f == "f1")
     reached_s = reached_g & (g != "g3") & yes(c("has_assessment"))
-    nodes = F.array_compact(F.array(
+    nodes = present(
         a, b, F.when(reached_c, c_), F.when(reached_d, d), F.when(reached_d & (d == "d2"), d2),
         F.when(reached_e, e), F.when(reached_f, f), F.when(reached_f & (f == "f2"), f2), F.when(reached_g, g),
-        F.when(reached_s, "A1"), F.when(reached_s, F.when(yes(c("by_us")), "A1a").otherwise("A1b")), F.when(reached_s, s)))
+        F.when(reached_s, "A1"), F.when(reached_s, F.when(yes(c("by_us")), "A1a").otherwise("A1b")), F.when(reached_s, s))
     return staged.withColumn("nodes", nodes).withColumn("node", F.element_at("nodes", -1)).select(
         *[named(x) for x in docs.columns], "nodes", "node")
 
@@ -180,9 +181,8 @@ def funnel_counts(flagged: DataFrame) -> DataFrame:
     spark = flagged.sparkSession
     nodes = constant_table(spark, FUNNEL_NODES, ["node", "description"])
     remedies = constant_table(spark, FUNNEL_REMEDIES, ["node", "remedy"])
-    # Few distinct ways through the funnel exist; count those, then their nodes.
-    ways = flagged.groupBy("nodes").agg(F.count("*").alias("n"))
-    counts = ways.select("n", F.explode("nodes").alias("node")).groupBy("node").agg(F.sum("n").alias("n"))
+    # A task has at most one row per node after its partial count.
+    counts = flagged.select(F.explode("nodes").alias("node")).groupBy("node").agg(F.count("*").alias("n"))
     return nodes.join(F.broadcast(remedies), "node", "left").join(counts, "node", "left").select(
         "node", "description", "remedy", F.coalesce("n", F.lit(0)).alias("n"))
 
