@@ -337,7 +337,8 @@ def check_list(assessed: DataFrame) -> DataFrame:
         F.concat(F.lit("coverage."), x["key"]).alias("check"),
         F.when(x["warning"], "warn").when(x["passed"], "pass").otherwise("fail").alias("status"),
         x["minimum"].cast("string").alias("expected"), x["shown"].alias("actual"), x["pointer"].alias("evidence")))
-    return assessed.select("doc_id", F.explode(F.concat(F.array(*head), coverage, F.array(*tail))).alias("c")).select(
+    # The outer form spares a filter on the list that would work it out again.
+    return assessed.select("doc_id", F.explode_outer(F.concat(F.array(*head), coverage, F.array(*tail))).alias("c")).select(
         "doc_id", "c.*")
 
 

@@ -181,8 +181,9 @@ def funnel_counts(flagged: DataFrame) -> DataFrame:
     spark = flagged.sparkSession
     nodes = constant_table(spark, FUNNEL_NODES, ["node", "description"])
     remedies = constant_table(spark, FUNNEL_REMEDIES, ["node", "remedy"])
-    # A task has at most one row per node after its partial count.
-    counts = flagged.select(F.explode("nodes").alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    # A task has at most one row per node after its partial count. The list is never
+    # empty; the outer form spares the filter on it, which would work it out again.
+    counts = flagged.select(F.explode_outer("nodes").alias("node")).groupBy("node").agg(F.count("*").alias("n"))
     return nodes.join(F.broadcast(remedies), "node", "left").join(counts, "node", "left").select(
         "node", "description", "remedy", F.coalesce("n", F.lit(0)).alias("n"))
 

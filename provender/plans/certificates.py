@@ -145,7 +145,7 @@ SELECT supplier_id, key, CAST(minimum AS BIGINT) AS minimum, effective, shown, p
 def q_limits(spark: SparkSession, sf: str) -> DataFrame:
     """Each required coverage against the composed policy plus umbrella."""
     c = composed(spark, sf).withColumn("limits", P.check_limits(F.lit(AS_OF).cast("timestamp")))
-    return c.select("supplier_id", F.explode("limits").alias("x")).select(
+    return c.select("supplier_id", F.explode_outer("limits").alias("x")).select(
         "supplier_id", F.col("x.key"), F.col("x.minimum"), F.col("x.effective"), F.col("x.shown"), F.col("x.passed"),
         F.col("x.warning"), F.array_join("x.reasons", "; ").alias("reasons"))
 
