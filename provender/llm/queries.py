@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import mixing, packing, token_files
+from provender.llm import mixing, packing, secrets, token_files
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -56,6 +56,38 @@ FROM placed
 """
 
 
+def _secrets_sql() -> str:
+    """Places of matches from the text between them, rule by rule."""
+    def spans(rank: int, rule: secrets.Rule) -> str:
+        pattern = rule.pattern.replace("'", "''")
+        return f"""
+  SELECT row_, {rank} AS rank, '{rule.kind}' AS kind, start_, start_ + len(whole) AS end_ FROM (
+    SELECT row_, whole, part,
+           sum(len(gap)) OVER w + coalesce(sum(len(whole)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS start_
+    FROM (SELECT row_, unnest(string_split_regex(t, '{pattern}')) AS gap,
+                 unnest(regexp_extract_all(t, '{pattern}', 0)) AS whole,
+                 unnest(regexp_extract_all(t, '{pattern}', {rule.group})) AS part,
+                 unnest(range(len(regexp_extract_all(t, '{pattern}', 0)))) AS i
+          FROM texts WHERE regexp_matches(t, '{pattern}'))
+    WHERE whole IS NOT NULL WINDOW w AS (PARTITION BY row_ ORDER BY i))
+  WHERE len(part) >= {rule.least}"""
+
+    every = " UNION ALL ".join(spans(rank, rule) for rank, rule in enumerate(secrets.RULES))
+    base = f"rank < {len(secrets.BASE_RULES)}"
+    joined = "string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, rank)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row_, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({every})
+SELECT doc_id, {counts}, sha256(coalesce({joined} FILTER ({base}), '')) AS base_sha256,
+       coalesce({joined} FILTER (kind IS NOT NULL), '') AS spans
+FROM texts LEFT JOIN spans USING (row_) GROUP BY row_, doc_id"""
+
+
+SECRETS_SQL = _secrets_sql()
+
+
 @_catalog.query(MIX_SQL)
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the words that a 5:2:1 mix of their sources takes."""
@@ -76,3 +108,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
     return token_files.with_checksum(token_files.read_tokens(spark, path))
+
+
+@_catalog.query(SECRETS_SQL)
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, each distinct text scanned once."""
+    scanned = secrets.scan_versions(table(spark, sf_dir, "documents"), scratch_dir(spark, "ledger"))
+    of = lambda kind: F.filter("found", lambda s: s["kind"] == kind)
+    base = F.filter("found", lambda s: s["rank"] < len(secrets.BASE_RULES))
+    return scanned.select(
+        "doc_id",
+        *[F.size(of(rule.kind)).cast("bigint").alias(f"n_{rule.kind}") for rule in secrets.BASE_RULES],
+        F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_list(F.col("found")).alias("spans"))
