@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import mixing, packing, secrets, token_files
+from provender.llm import licenses, mixing, packing, secrets, token_files
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -121,3 +121,14 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(of(rule.kind)).cast("bigint").alias(f"n_{rule.kind}") for rule in secrets.BASE_RULES],
         F.sha2(secrets.span_list(base).cast("binary"), 256).alias("base_sha256"),
         secrets.span_list(F.col("found")).alias("spans"))
+
+
+@_catalog.query()
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of all documents."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.col("places")["start"]
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).cast("bigint").alias("first_word"), F.array_max(starts).cast("bigint").alias("last_word"),
+        "base_labels", "labels", "score")
