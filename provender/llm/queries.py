@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import licenses, mixing, packing, secrets, token_files
+from provender.llm import languages, licenses, mixing, packing, secrets, token_files
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -132,3 +132,13 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
         F.array_min(starts).cast("bigint").alias("first_word"), F.array_max(starts).cast("bigint").alias("last_word"),
         "base_labels", "labels", "score")
+
+
+@_catalog.query()
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents; a quarter of them is never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held = languages.held_out(F.col("doc_id"))
+    model = languages.train(docs, ~held)
+    return languages.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score")

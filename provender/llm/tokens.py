@@ -1,29 +1,56 @@
 """Token ids of whole texts, with a bounded memory of words already encoded.
 
-The byte-level vocabularies used here never merge across the start of a word that
-one space precedes. A text is therefore cut before such spaces, every distinct
-piece is encoded once by the ``tokenizers`` library, and a text's ids are its
-pieces' ids in order. The result equals encoding the text in one call.
+A byte-level vocabulary never merges across the start of a word that one space
+precedes. A text is therefore cut before such spaces, every distinct piece is
+encoded once by the ``tokenizers`` library, and a text's ids are its pieces' ids in
+order. A piece of Latin letters and plain marks is cut further into its words,
+which go straight to the library's merge model. The result equals encoding the text
+in one call; for other kinds of tokenizer, texts are encoded in one call.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
 
-#: Pieces remembered by one Python worker, and their characters in all.
-ROOM = 600_000
-ROOM_CHARS = 16_000_000
+#: Pieces, and words, remembered by one Python worker, and their characters.
+ROOM = 400_000
+ROOM_CHARS = 8_000_000
 
 # A space that ends the text or has more white space after it is no plain cut.
 _ODD_SPACE = re.compile(r" (?=\s|\Z)")
 _PLAIN_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+# Letters, digits and marks that the library's own rule separates in just this way.
+_LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf"(?:[{_LETTER}0-9{_MARK}]|\n(?!\n))+")
+_WORD = re.compile(rf"[{_LETTER}]+|[0-9]+|[{_MARK}]+|\n")
+
+
+class _Known(dict):
+    """Ids by piece; a new piece is encoded when it is first asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes], room: int, room_chars: int):
+        super().__init__()
+        self._encode, self._room, self._room_chars, self._chars = encode, room, room_chars, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self._encode(piece)
+        self._chars += len(piece)
+        return ids
+
+    def tidy(self) -> None:
+        if len(self) > self._room or self._chars > self._room_chars:
+            self.clear()
+            self._chars = 0
+
+
 class Encoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids."""
 
@@ -32,30 +59,57 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._room, self._room_chars = room, room_chars
-        self._first: dict[str, bytes] = {}
-        self._later: dict[str, bytes] = {}
-        self._chars = 0
+        settings = json.loads(self._library.to_str())
+        self._byte_level = _is_byte_level(settings)
+        self._added = [a["content"] for a in settings["added_tokens"]]
+        self._alphabet = _byte_names()
+        self._words = _Known(self._word, room, room_chars)
+        self._first = _Known(lambda piece: self._piece("", piece), room, room_chars)
+        self._later = _Known(lambda piece: self._piece(" ", piece), room, room_chars)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as bytes; a null text is an empty one."""
-        cut = [_cut(text or "") for text in texts]
-        if len(self._first) + len(self._later) > self._room or self._chars > self._room_chars:
-            self._first.clear()
-            self._later.clear()
-            self._chars = 0
-        self._learn({c[0] for c in cut}, self._first, "")
-        self._learn(set(chain.from_iterable(c[1:] for c in cut)), self._later, " ")
-        later = self._later.__getitem__
-        return [self._first[c[0]] + b"".join(map(later, c[1:])) for c in cut]
-
-    def _learn(self, pieces: set[str], known: dict[str, bytes], before: str) -> None:
-        new = list(pieces.difference(known))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            found = self._library.encode_batch_fast([before + p for p in part], add_special_tokens=False)
-            known.update((p, _bytes(e.ids)) for p, e in zip(part, found, strict=True))
-        self._chars += sum(map(len, new))
+        if not self._byte_level:
+            found = self._library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [_bytes(e.ids) for e in found]
+        later, out = self._later.__getitem__, []
+        for text in texts:
+            first, *rest = _cut(text or "")
+            out.append(self._first[first] + b"".join(map(later, rest)))
+            for known in (self._words, self._first, self._later):
+                known.tidy()
+        return out
+
+    def _piece(self, before: str, piece: str) -> bytes:
+        if not _PLAIN.fullmatch(piece) or any(a in piece for a in self._added):
+            return _bytes(self._library.encode(before + piece, add_special_tokens=False).ids)
+        words = _WORD.findall(piece)
+        words[0] = before + words[0]
+        return b"".join(map(self._words.__getitem__, words))
+
+    def _word(self, word: str) -> bytes:
+        named = word.encode().decode("latin-1").translate(self._alphabet)
+        return _bytes([t.id for t in self._library.model.tokenize(named)])
+
+
+def _is_byte_level(settings: dict) -> bool:
+    before, model = settings["pre_tokenizer"] or {}, settings["model"]
+    return (before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+            and settings["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout")
+            and not any(a["lstrip"] or a["rstrip"] or re.search(r"\s", a["content"]) for a in settings["added_tokens"]))
+
+
+def _byte_names() -> dict[int, str]:
+    """The character by which the library's byte-level models name each byte.
+
+    A byte whose own character is in their alphabet keeps it; the other bytes have
+    the alphabet's remaining characters, in order.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    alphabet = set(ByteLevel.alphabet())
+    others = iter(sorted(c for c in alphabet if ord(c) > 255))
+    return {b: chr(b) if chr(b) in alphabet else next(others) for b in range(256)}
 
 
 def _cut(text: str) -> list[str]:

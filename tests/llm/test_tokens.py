@@ -13,7 +13,8 @@ from provender.llm.tokens import Encoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 TEXTS = ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n \n b", "it's  'quoted' don't", "x" * 3000, "a  b", "\x1c a \x1cb",
-         "é è ü 漢字 仮名", "one <|endoftext|> two", "tab\t end\n", "\n\n  lead", "😀 😀  x", "1 22 333  4444", "a\r\n b \r\n"]
+         "é è ü 漢字 仮名", "one <|endoftext|> two", "tab\t end\n", "\n\n  lead", "😀 😀  x", "1 22 333  4444", "a\r\n b \r\n",
+         "x.y,z 12ab_3--4 (a)[b] {c}\n\nd don't '', ..'s \"q\"\nw A'B", "<|endoftext|>", "a<|endoftext|>b.c"]
 
 
 def plain(text):
