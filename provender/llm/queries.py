@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import languages, licenses, mixing, packing, secrets, token_files
+from provender.llm import languages, licenses, mixing, packing, secrets, simhash, token_files
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -142,3 +142,9 @@ def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = languages.train(docs, ~held)
     return languages.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@_catalog.query()
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: shingles of three words, three bits at most."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
