@@ -75,11 +75,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     Rows that repeat in id and size may swap their copies. An empty table gives no
     rows.
     """
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
+    # Under names of their own, so that columns nobody asks for are never shuffled.
+    kept = {f"_kept{i}": c for i, c in enumerate(docs.columns) if c not in ADDED}
     length = F.length(F.bin("size"))
     rows = (
-        docs.select(F.struct(*kept).alias("_doc"), word_count(F.col("text")).alias("size"), "source",
-                    F.col("doc_id").alias("_id"))
+        docs.select(*[F.col(f"`{c}`").alias(name) for name, c in kept.items()],
+                    word_count(F.col("text")).alias("size"), "source", F.col("doc_id").alias("_id"))
         .withColumn("_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
         # Four size classes to an octave: the length in bits and the two bits after the first.
         .withColumn("_class", 4 * length + F.when(length < 3, F.lit(0)).otherwise(
@@ -105,7 +106,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
         rows.withColumn("_inside", F.row_number().over(inside)).join(placed, ["_key", "_class", "_salt"])
         .withColumn("_place", F.col("_before") + F.col("_inside"))
         .withColumn("copies", sum_at(F.col("_place")) - sum_at(F.col("_place") - 1))
-        .select("_doc.*", "size", "source_size", "target", F.col("copies").cast("bigint").alias("copies"),
+        .select(*[F.col(name).alias(c) for name, c in kept.items()], "size", "source_size", "target", F.col("copies").cast("bigint").alias("copies"),
                 (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
     )
 
