@@ -43,6 +43,9 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+#: Tasks that may share the paths of one content.
+SALTS = 16
+
 FOUND = "array<struct<start: int, rank: int, end: int, kind: string>>"
 LEDGER = f"blob string, rules string, found {FOUND}"
 
@@ -108,8 +111,10 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     known = (
         read_ledger(spark, ledger).where((F.col("rules") == version) & (F.size("found") > 0))
         .groupBy("blob").agg(F.max("found").alias("found"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    return blobs.join(known, "blob", "left").select(
+    salted = blobs.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(known, ["blob", "_salt"], "left").select(
         *kept, "blob", F.coalesce("found", F.from_json(F.lit("[]"), FOUND)).alias("found"))
 
 
