@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import languages, licenses, mixing, packing, secrets, simhash, token_files
+from provender.llm import embeddings, languages, licenses, mixing, packing, secrets, simhash, token_files
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -148,3 +148,9 @@ def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: shingles of three words, three bits at most."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+@_catalog.query()
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links of all embeddings at a cosine of 0.93."""
+    return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"), 0.93)
