@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import embeddings, languages, licenses, mixing, packing, secrets, simhash, token_files
+from provender.llm import embeddings, languages, licenses, mixing, packing, secrets, simhash, token_files, topk
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -87,6 +87,20 @@ FROM texts LEFT JOIN spans USING (row_) GROUP BY row_, doc_id"""
 
 SECRETS_SQL = _secrets_sql()
 
+TOP_K_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row_ AS ask, q.vec_id AS query_id, c.vec_id, c.row_,
+         list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.row_ <> c.row_ WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY ask ORDER BY score DESC, vec_id, row_)::INTEGER AS rank FROM scored)
+WHERE rank <= 10
+"""
+
 
 @_catalog.query(MIX_SQL)
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,3 +168,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links of all embeddings at a cosine of 0.93."""
     return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@_catalog.query(TOP_K_SQL)
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best inner products for every hundredth embedding, over all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
