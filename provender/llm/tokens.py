@@ -29,24 +29,33 @@ _PLAIN_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 # Letters, digits and marks that the library's own rule separates in just this way.
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(rf"(?:[{_LETTER}0-9{_MARK}]|\n(?!\n))+")
+_PLAIN = re.compile(rf"[{_LETTER}0-9{_MARK}\n]+")
 _WORD = re.compile(rf"[{_LETTER}]+|[0-9]+|[{_MARK}]+|\n")
 
 
 class _Known(dict):
-    """Ids by piece; a new piece is encoded when it is first asked for."""
+    """Ids by piece; a new piece is encoded when it is first asked for.
+
+    When room runs out, what is held becomes the older half, which goes when room
+    runs out again; a piece asked for meanwhile comes back from it.
+    """
 
     def __init__(self, encode: Callable[[str], bytes], room: int, room_chars: int):
         super().__init__()
-        self._encode, self._room, self._room_chars, self._chars = encode, room, room_chars, 0
+        self._encode, self._room, self._room_chars, self._chars = encode, room // 2, room_chars // 2, 0
+        self._older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self._encode(piece)
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._encode(piece)
+        self[piece] = ids
         self._chars += len(piece)
         return ids
 
     def tidy(self) -> None:
         if len(self) > self._room or self._chars > self._room_chars:
+            self._older = dict(self)
             self.clear()
             self._chars = 0
 
@@ -63,7 +72,6 @@ class Encoder:
         self._byte_level = _is_byte_level(settings)
         self._added = [a["content"] for a in settings["added_tokens"]]
         self._alphabet = _byte_names()
-        self._words = _Known(self._word, room, room_chars)
         self._first = _Known(lambda piece: self._piece("", piece), room, room_chars)
         self._later = _Known(lambda piece: self._piece(" ", piece), room, room_chars)
 
@@ -76,19 +84,22 @@ class Encoder:
         for text in texts:
             first, *rest = _cut(text or "")
             out.append(self._first[first] + b"".join(map(later, rest)))
-            for known in (self._words, self._first, self._later):
-                known.tidy()
+            self._first.tidy()
+            self._later.tidy()
         return out
 
     def _piece(self, before: str, piece: str) -> bytes:
-        if not _PLAIN.fullmatch(piece) or any(a in piece for a in self._added):
+        """A word goes to the merge model; a plain piece is the ids of its words."""
+        if piece.isalpha() and piece.isascii():
+            return self._merged(self._alphabet[32] + piece if before else piece)
+        if not _PLAIN.fullmatch(piece) or "\n\n" in piece or any(a in piece for a in self._added):
             return _bytes(self._library.encode(before + piece, add_special_tokens=False).ids)
-        words = _WORD.findall(piece)
-        words[0] = before + words[0]
-        return b"".join(map(self._words.__getitem__, words))
+        word, *more = _WORD.findall(piece)
+        if not more:
+            return self._merged((before + word).encode().decode("latin-1").translate(self._alphabet))
+        return (self._later if before else self._first)[word] + b"".join(map(self._first.__getitem__, more))
 
-    def _word(self, word: str) -> bytes:
-        named = word.encode().decode("latin-1").translate(self._alphabet)
+    def _merged(self, named: str) -> bytes:
         return _bytes([t.id for t in self._library.model.tokenize(named)])
 
 
