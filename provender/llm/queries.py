@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import embeddings, languages, licenses, mixing, packing, secrets, simhash, token_files, topk
+from provender.llm import embeddings, languages, licenses, mixing, packing, quoting, secrets, simhash, token_files, topk
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -101,6 +101,46 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 10
 """
 
+QUOTES_SQL = r"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, role,
+         string_split_regex(coalesce(text, ''), '\r?\n') AS lines FROM conversations),
+lines AS (
+  SELECT rid, conv_id, turn, i, regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', '') AS rest,
+         len(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+', 0), '[^>]', '', 'g')) AS level
+  FROM (SELECT rid, conv_id, turn, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM messages)),
+cut AS (
+  SELECT *, coalesce(level <> lag(level) OVER w OR (trim(rest) = '') <> (trim(lag(rest) OVER w) = ''), true) AS new_run
+  FROM lines WINDOW w AS (PARTITION BY rid ORDER BY i)),
+runs AS (
+  SELECT *, sum(new_run::INT) OVER (PARTITION BY rid ORDER BY i) AS run FROM cut),
+passages AS (
+  SELECT rid, conv_id, turn, level,
+         lower(trim(regexp_replace(string_agg(rest, chr(10) ORDER BY i), '\s+', ' ', 'g'))) AS plain
+  FROM runs WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY rid, conv_id, turn, level, run),
+origins AS (SELECT conv_id, plain, min(turn) AS origin FROM passages WHERE level = 0 AND plain <> '' GROUP BY ALL),
+answers AS (
+  SELECT rid, count(*) AS quotes, count(*) FILTER (origin < p.turn) AS linked,
+         max({'l': -level, 'o': origin}) FILTER (origin < p.turn) AS best
+  FROM passages p LEFT JOIN origins USING (conv_id, plain) WHERE level > 0 AND plain <> '' GROUP BY rid),
+replies AS (
+  SELECT rid, conv_id, turn, role, coalesce(quotes, 0) AS quotes, coalesce(linked, 0) AS linked, best.o AS reply_to
+  FROM messages LEFT JOIN answers USING (rid)),
+ups AS (SELECT conv_id, turn, max(reply_to) AS up FROM replies GROUP BY ALL),
+walk AS (
+  SELECT conv_id, turn, turn AS at_ FROM ups
+  UNION ALL SELECT w.conv_id, w.turn, u.up FROM walk w JOIN ups u ON u.conv_id = w.conv_id AND u.turn = w.at_
+  WHERE u.up IS NOT NULL),
+roots AS (SELECT conv_id, turn, min(at_) AS thread FROM walk GROUP BY ALL),
+bodies AS (
+  SELECT rid, regexp_replace(coalesce(string_agg(rest, chr(10) ORDER BY i) FILTER (level = 0), ''),
+                             '^\s+|\s+$', '', 'g') AS body FROM lines GROUP BY rid)
+SELECT conv_id, turn, role, quotes, linked, reply_to, thread,
+       row_number() OVER (PARTITION BY conv_id ORDER BY thread, turn, rid) AS position,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || body || chr(10) AS formatted
+FROM replies JOIN roots USING (conv_id, turn) JOIN bodies USING (rid)
+"""
+
 
 @_catalog.query(MIX_SQL)
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,3 +214,10 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten best inner products for every hundredth embedding, over all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@_catalog.query(QUOTES_SQL)
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without what messages quote."""
+    chat = quoting.link_quotes(table(spark, sf_dir, "conversations"))
+    return chat.select("conv_id", "turn", "role", "quotes", "linked", "reply_to", "thread", "position", "formatted")
