@@ -1,13 +1,40 @@
-"""A corpus from raw documents to packed sequences, stage by stage."""
+"""A corpus from raw documents to packed sequences, stage by stage.
+
+Every stage takes and, but for the last, returns the columns of ``documents``, and
+works on all its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from provender.llm import mixing, packing
+from provender.llm import languages, mixing, packing, secrets, simhash
 from provender.llm.queries import TOKENIZER
 from provender.plans.tables import table
-from provender.session import written
+from provender.session import scratch_dir, written
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter go; a document without a language gets the predicted one."""
+    model = languages.train(docs, ~languages.held_out(F.col("doc_id")))
+    told = languages.identify(docs, model).where(F.col("text").rlike(r"\p{L}"))
+    known = F.coalesce("lang", F.when(F.col("lang_pred") != languages.UNKNOWN, F.col("lang_pred")))
+    return told.withColumn("lang", known).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays: shingles of three words, three bits at most."""
+    return simhash.kept_documents(docs, shingle=3, distance=3)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are replaced by a mark in the text; all documents stay."""
+    scanned = secrets.scan_versions(docs, scratch_dir(spark, "ledger"))
+    text = secrets.redacted(F.col("text"), F.col("found"))
+    clean = F.size("found") == 0
+    return scanned.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.char_length(text).cast("bigint"))) \
+        .withColumn("text", text).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +48,10 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("mixing", mix_sources),
+    ("language ID", identify_languages),
+    ("SimHash near-dedup", drop_near_copies),
+    ("secret scans", hide_secrets),
+    ("mixing sources", mix_sources),
     ("packing", pack_documents),
 ]
 

@@ -34,10 +34,15 @@ _SEEN[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 def features(raw: bytes) -> np.ndarray:
     """Indexes of all byte pairs and triples of a text, repeats included."""
-    b = _SEEN[np.frombuffer(b" " + raw + b" ", dtype=np.uint8)]
+    return _features(b" " + raw + b" ", True)
+
+
+def _features(padded: bytes, start: bool) -> np.ndarray:
+    """Those of a stretch; one that isn't the start leaves out the pair it shares with the stretch before."""
+    b = _SEEN[np.frombuffer(padded, dtype=np.uint8)]
     pair = b[:-1] << 8 | b[1:]
     triple = (pair[:-1] * np.uint32(0x9E3779B1) ^ b[2:] * np.uint32(0x85EBCA6B)) >> np.uint32(15)
-    return np.concatenate([pair, triple + np.uint32(PAIRS)])
+    return np.concatenate([pair if start else pair[1:], triple + np.uint32(PAIRS)])
 
 
 @dataclass(frozen=True)
@@ -187,17 +192,10 @@ def _predictor(model: Model):
 
 
 def _mean_weights(raw: bytes, table: np.ndarray, step: int = 1 << 18) -> np.ndarray:
-    """Mean weight of a text's features for every machine, in stretches of bounded size.
-
-    Stretches overlap by two bytes, so no pair or triple is lost; those that end a
-    stretch's edge are counted with their neighbours.
-    """
-    if len(raw) <= step:
-        at = features(raw)
-        return table[at].sum(axis=0, dtype=np.float64) / len(at)
-    total, n = np.zeros(table.shape[1]), 0
-    for start in range(0, len(raw), step):
-        at = features(raw[max(0, start - 2):start + step])
+    """Mean weight of a whole text's features for every machine, in stretches of bounded size."""
+    padded, total, n = b" " + raw + b" ", np.zeros(table.shape[1]), 0
+    for start in range(0, len(padded), step):
+        at = _features(padded[max(0, start - 2):start + step], start == 0)
         total += table[at].sum(axis=0, dtype=np.float64)
         n += len(at)
     return total / n
