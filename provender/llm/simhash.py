@@ -5,17 +5,17 @@ have a segment that differs in few bits, so each fingerprint enumerates a small
 Hamming ball around each of its segments, fetches the fingerprints that have one of
 those values in their own segment table, and the whole distance is verified.
 
-Equal fingerprints are one entry. Where a ball's value and the rest of the
-fingerprint agree too, the fingerprints around that one point lie within twice the
-radius of each other; they are tied through their smallest before anything is paired,
-and entries that are tied already need no pair. So a crowd of near copies costs its
+Equal fingerprints are one entry. Fingerprints whose balls share a value and that
+agree elsewhere lie around one point, within twice the radius of each other; the
+smallest and the largest around each point are tied before anything is paired, and
+entries that are tied already need no pair. So a crowd of near copies costs about its
 size, not its square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -70,29 +70,24 @@ def near_fingerprints(points: DataFrame, distance: int, segments: int = 2) -> Da
     if not 0 <= distance < BITS or not 1 <= segments <= BITS:
         raise ValueError("distance and segments must lie below the number of bits")
     radius = distance // segments
-    points = points.select("fingerprint")
-    probes = written(points.select("fingerprint", F.explode(_balls(segments, radius)).alias("p"))
-                     .select("fingerprint", "p.segment", "p.value"), "probes")
-    # What is left of a fingerprint outside the segment, to find those around one point.
-    hub = F.struct("segment", "value", _rest(segments).alias("rest"))
-    around = probes.select("fingerprint", hub.alias("hub"))
-    tied = None
-    if 2 * radius <= distance and radius:
-        least = around.groupBy("hub").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("z"))
-        many = least.where("a <> z").select("hub", "a")
-        tied = written(components(around.join(many, "hub").select("a", F.col("fingerprint").alias("b"))), "tied")
-        points = points.join(tied.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+    # Few and narrow rows that become many: deal them out before they do.
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.select("fingerprint").repartition(parts, "fingerprint").withColumn("tie", F.col("fingerprint"))
+    if radius and 2 * radius <= distance:
+        around = points.select("fingerprint", F.explode(_balls(segments, radius, whole=True)).alias("hub"))
+        ends = around.groupBy("hub").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b"))
+        tied = components(ends.where("a <> b").select("a", "b")).withColumnRenamed("node", "fingerprint")
+        points = points.drop("tie").join(tied, "fingerprint", "left").select(
             "fingerprint", F.coalesce("component", "fingerprint").alias("tie"))
-    else:
-        points = points.withColumn("tie", F.col("fingerprint"))
-    points = written(points, "points")
+        points = written(points, "points").repartition(parts, "fingerprint")
 
+    # Values of different segments lie in different bits, so a value stands for its segment too.
     entries = points.select(F.col("fingerprint").alias("b"), F.col("tie").alias("b_tie"),
-                            F.explode(_balls(segments, 0)).alias("p")).select("b", "b_tie", "p.segment", "p.value")
-    asked = probes.join(points, "fingerprint").select(
-        F.col("fingerprint").alias("a"), F.col("tie").alias("a_tie"), "segment", "value")
+                            F.explode(_balls(segments, 0)).alias("value"))
+    asked = points.select(F.col("fingerprint").alias("a"), F.col("tie").alias("a_tie"),
+                          F.explode(_balls(segments, radius)).alias("value"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    found = asked.join(entries, ["segment", "value"]).where((F.col("a_tie") < F.col("b_tie")) & apart)
+    found = asked.join(entries, "value").where((F.col("a_tie") != F.col("b_tie")) & apart)
     crossed = components(found.select(F.col("a_tie").alias("a"), F.col("b_tie").alias("b")))
     return points.join(crossed.withColumnRenamed("node", "tie"), "tie", "left").select(
         "fingerprint", F.coalesce("component", "tie").alias("root"))
@@ -141,18 +136,19 @@ def _cut(first: int, width: int) -> int:
     return _signed(((1 << width) - 1) << first)
 
 
-def _balls(segments: int, radius: int) -> Column:
-    """All (segment, value) with the value within ``radius`` bits of the fingerprint's own."""
-    from itertools import combinations
+def _balls(segments: int, radius: int, whole: bool = False) -> Column:
+    """Values of every segment within ``radius`` bits of the fingerprint's own, as an array.
 
-    masks = [(s, _cut(first, width), _signed(sum(1 << first + i for i in bits)))
-             for s, (first, width) in enumerate(_bounds(segments))
-             for r in range(radius + 1) for bits in combinations(range(width), r)]
-    return F.array(*[F.struct(F.lit(s).cast("tinyint").alias("segment"), F.col("fingerprint").bitwiseAND(F.lit(cut))
-                              .bitwiseXOR(F.lit(flip)).alias("value")) for s, cut, flip in masks])
-
-
-def _rest(segments: int) -> Column:
-    cases = [(s, _signed(((1 << BITS) - 1) ^ ((1 << width) - 1) << first)) for s, (first, width) in enumerate(_bounds(segments))]
-    return reduce(lambda rest, case: F.when(F.col("segment") == case[0], F.col("fingerprint").bitwiseAND(F.lit(case[1])))
-                  .otherwise(rest), cases, F.lit(None).cast("bigint"))
+    Of two values that differ, one has 0 where they first differ; only that one
+    reaches out, so each pair is asked for once. ``whole`` keeps the rest of the
+    fingerprint around the segment's value.
+    """
+    own, values = F.col("fingerprint"), []
+    for first, width in _bounds(segments):
+        kept = own if whole else own.bitwiseAND(F.lit(_cut(first, width)))
+        values.append(kept)
+        for r in range(1, radius + 1):
+            for bits in combinations(range(first, first + width), r):
+                flipped = kept.bitwiseXOR(F.lit(_signed(sum(1 << b for b in bits))))
+                values.append(F.when(own.bitwiseAND(F.lit(_signed(1 << bits[0]))) == 0, flipped))
+    return F.array_compact(F.array(*values))
