@@ -150,9 +150,9 @@ def type_table(spark: SparkSession) -> DataFrame:
 
 
 def with_lookup(df: DataFrame, lookup: DataFrame, on: str, key: str, value: str, default: str | None = None) -> DataFrame:
-    """Left join with a small constant table and an optional default."""
+    """Left join with a lookup table and an optional default; Spark weighs the table's size."""
     small = lookup.select(named(key).alias("_k"), named(value).alias("_v"))
-    out = df.join(F.broadcast(small), named(on) == F.col("_k"), "left")
+    out = df.join(small, named(on) == F.col("_k"), "left")
     found = F.col("_v") if default is None else F.coalesce("_v", F.lit(default))
     return out.withColumn(value, found).drop("_k", "_v")
 

@@ -45,8 +45,6 @@ RENAMES = (
     ("incidentDate (Incident Date/Delivery Date/Date)", INCIDENT_DATE),
     ("distributor (Shipment Originator/Smithfield Plant/Receiver)", RECEIVER),
 )
-# Fixed value: a question followed by this remark is the same question.
-REMARKED_QUESTION = re.compile(r"^(Did you email your .*recovery options\?) \(Be sure to include your .*\)$")
 # Sources that keep their own column after feeding another one.
 KEPT_SOURCES = ("Affected Quantity", "IMAGE OF SUPPLIER CASE LABEL", INCIDENT_DATE)
 # Words for the same token of a bracketed header.
@@ -125,9 +123,12 @@ class HeaderPlan:
         overrides: Sequence[tuple[str, str]] = (),
         values: dict[str, Column] | None = None,
         legacy_credit_note: bool = False,
+        renames: Sequence[tuple[str, str]] = (),
     ):
         self.registry = registry
         self.legacy_credit_note = legacy_credit_note
+        # Exact pairs of a site's own long questions, beside the fixed ones.
+        self.renames = (*RENAMES, *renames)
         unique = [h for h in dict.fromkeys(h.strip() for h in headers) if h]
         values = values or {h: named(h) for h in unique}
         self.feeds = {h: Feed(values[h], None, frozenset([h])) for h in unique}
@@ -231,12 +232,7 @@ class HeaderPlan:
             self.feeds[target] = old.filled(F.when(old.live, old.value).otherwise(note.value), note)
 
     def _renames(self) -> None:
-        pairs = list(RENAMES)
-        for header in self.feeds:
-            remarked = REMARKED_QUESTION.match(header)
-            if remarked:
-                pairs.append((header, remarked.group(1)))
-        for source, target in pairs:
+        for source, target in self.renames:
             if source in self.feeds and self.registry.allows(target):
                 self._fill_null(target, self.feeds[source])
                 if source not in KEPT_SOURCES:

@@ -54,30 +54,34 @@ def upsert(
 ) -> DataFrame:
     """Merge ``source`` (one row per key) into ``target`` without losing values.
 
-    Matched rows take the incoming value where there is one and keep the stored
-    one otherwise; unmatched incoming rows are inserted; the rest stay.
+    Names are matched without case and come out as ``kinds`` spells them. Matched
+    rows take the incoming value where there is one and keep the stored one
+    otherwise; unmatched incoming rows are inserted; the rest stay.
     """
+    stored = {c.lower(): c for c in target.columns}
+    incoming = {c.lower(): c for c in source.columns}
+    own_key, new_key = stored[key.lower()], incoming[key.lower()]
     t, s = target.alias("t"), source.alias("s")
-    joined = t.join(s, F.col(f"t.`{key}`") == F.col(f"s.`{key}`"), "full_outer")
-    stored = set(target.columns)
+    joined = t.join(s, F.col(f"t.`{own_key}`") == F.col(f"s.`{new_key}`"), "full_outer")
 
     def merged(name: str) -> Column:
-        new = F.col(f"s.`{name}`")
+        new = F.col(f"s.`{incoming[name.lower()]}`")
         if kinds[name] == TEXT:
             new = nonempty(new)
-        old = [F.col(f"t.`{name}`")] if name in stored else []
+        old = [F.col(f"t.`{stored[name.lower()]}`")] if name.lower() in stored else []
         default = [F.lit("")] if name in required_text else []
         return F.coalesce(new, *old, *default).alias(name)
 
     outcome = []
     if with_outcome:
         outcome = [
-            F.when(F.col(f"t.`{key}`").isNull(), "inserted")
-            .when(F.col(f"s.`{key}`").isNull(), "kept").otherwise("updated").alias("outcome")
+            F.when(F.col(f"t.`{own_key}`").isNull(), "inserted")
+            .when(F.col(f"s.`{new_key}`").isNull(), "kept").otherwise("updated").alias("outcome")
         ]
-    extra = [c for c in target.columns if c != key and c not in kinds]
+    known = {key.lower(), *(c.lower() for c in kinds)}
+    extra = [c for c in target.columns if c.lower() not in known]
     return joined.select(
-        F.coalesce(F.col(f"s.`{key}`"), F.col(f"t.`{key}`")).alias(key),
+        F.coalesce(F.col(f"s.`{new_key}`"), F.col(f"t.`{own_key}`")).alias(key),
         *[merged(c) for c in kinds],
         *[F.col(f"t.`{c}`").alias(c) for c in extra],
         *outcome,

@@ -48,7 +48,7 @@ def _neighbour(df, keys, chunk, order, values, prefix, forward):
         df.withColumn("_chunk", chunk).groupBy(*group, "_chunk").agg(edge.alias("_edge"))
         .withColumn("_far", shift("_edge").over(across)).drop("_edge")
     )
-    joined = rows.join(borders, [*keys, "_chunk"], "left")
+    joined = _same_group(rows, borders, keys)
     near = F.coalesce("_near", "_far")
     return joined.select(*[named(c) for c in df.columns],
                          *[near.getField(v).alias(prefix + v) for v in values])
@@ -68,12 +68,23 @@ def with_position(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequ
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .withColumn("_total", F.sum("_n").over(whole)).drop("_n")
     )
-    joined = rows.join(chunks, [*keys, "_chunk"], "left")
+    joined = _same_group(rows, chunks, keys)
     return joined.select(*[named(c) for c in df.columns],
                          (F.col("_place") + F.col("_before")).cast("bigint").alias(position),
                          F.col("_total").cast("bigint").alias(size))
 
 
+def _same_group(rows: DataFrame, chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the summary of their chunk; a null key is a group like any other."""
+    side = chunks.select(*[named(c).alias(f"_of_{c}") for c in (*keys, "_chunk")],
+                         *[named(c) for c in chunks.columns if c not in (*keys, "_chunk")])
+    same = None
+    for c in (*keys, "_chunk"):
+        equal = named(c).eqNullSafe(named(f"_of_{c}"))
+        same = equal if same is None else same & equal
+    return rows.join(side, same, "left").drop(*[f"_of_{c}" for c in (*keys, "_chunk")])
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first k rows per group.
 

@@ -250,11 +250,16 @@ def attachment_outcomes(attachments: DataFrame) -> DataFrame:
         F.coalesce("run_error", "result_error").alias("error"))
 
 
-def parsing_errors(outcomes: DataFrame) -> DataFrame:
-    """Per supplier: did any attachment fail, and does an error name the holder."""
+def parsing_errors(outcomes: DataFrame, search_name: bool = True) -> DataFrame:
+    """Per supplier: did any attachment fail, and does an error name the holder.
+
+    A review case searches the attachment's name with its error; a workbook
+    (``search_name=False``) the error alone.
+    """
+    said = F.when(F.col("error").isNotNull(), F.concat_ws(": ", "attachment", "error")) if search_name else F.col("error")
     return outcomes.groupBy("supplier_id").agg(
         F.bool_or(F.col("status") == "failed").alias("parsing_error"),
-        F.coalesce(F.bool_or(F.col("error").contains("Holder")), F.lit(False)).alias("invalid_holder"),
+        F.coalesce(F.bool_or(said.contains("Holder")), F.lit(False)).alias("invalid_holder"),
         F.count("error").alias("n_errors"))
 
 

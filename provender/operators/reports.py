@@ -167,7 +167,7 @@ def funnel(docs: DataFrame) -> DataFrame:
     reached_e = reached_d & (d == "d1")
     reached_f = reached_e & (e == "e1")
     reached_g = reached_f & (f == "f1")
-    reached_s = reached_g & (g != "g3") & yes(c("has_assessment"))
+    reached_s = reached_g & (g == "g1") & yes(c("has_assessment"))
     nodes = present(
         a, b, F.when(reached_c, c_), F.when(reached_d, d), F.when(reached_d & (d == "d2"), d2),
         F.when(reached_e, e), F.when(reached_f, f), F.when(reached_f & (f == "f2"), f2), F.when(reached_g, g),

@@ -20,7 +20,8 @@ def usable_day(c: Column) -> Column:
 
 
 def expiry_verdict(type_name: Column, declared: Column, minimum: Column, as_of: Column,
-                   source_label: str = "the source system") -> dict[str, Column]:
+                   source_label: str = "the source system", error_prefix: str = "Validation failed: ",
+                   type_label: str = "type") -> dict[str, Column]:
     """Status and message of the expiry rule; ``minimum`` is the earliest usable date.
 
     When both rules fail the message of the second (expired) stays.
@@ -31,9 +32,9 @@ def expiry_verdict(type_name: Column, declared: Column, minimum: Column, as_of:
     mismatch = F.coalesce(stated > lowest, F.lit(False))
     expired = F.coalesce(F.to_timestamp(lowest) <= as_of, F.lit(False))
     message = (
-        F.when(~supported, F.concat(F.lit("validateResult Errored: Validation of FL Type "),
+        F.when(~supported, F.concat(F.lit(f"{error_prefix}Validation of {type_label} "),
                                     F.coalesce(type_name, F.lit("undefined")), F.lit(" unsupported")))
-        .when(minimum.isNull(), "validateResult Errored: Could not extract expiration dates from PDF.")
+        .when(minimum.isNull(), f"{error_prefix}Could not extract expiration dates from PDF.")
         .when(expired, F.concat(
             F.lit("Minimum expiration date found on the document indicates it is already expired: "), lowest))
         .when(mismatch, F.concat(
@@ -111,14 +112,25 @@ def insurance_violation(c: Column, answer: Column, umbrella: Column) -> tuple[Co
 
 
 def check_template(assessments: DataFrame, insurance: bool) -> DataFrame:
-    """Per assessment: failed or not, how many columns fail."""
-    rows = template_columns(assessments)
-    c = F.col("c")
-    failed, _ = insurance_violation(c, F.col("answer"), F.col("umbrella")) if insurance else generic_violation(c)
-    rows = rows.select("assessment_id", failed.alias("failed"))
-    failed = F.col("failed")
-    return rows.groupBy("assessment_id").agg(
-        F.bool_or(failed).alias("failed"), F.count_if(failed).cast("bigint").alias("n_failed"))
+    """Per assessment (one row each): failed or not, how many columns fail. Nothing is shuffled."""
+    def failures(q: Column) -> Column:
+        def answer_of(key: Column) -> Column:
+            return F.get(F.filter(q["answers"], lambda a: a["column"] == key), F.lit(0))
+
+        leaning = F.get(F.filter(q["columns"], lambda c: c["name"] == UMBRELLA), F.lit(0))["id"]
+        umbrella = answer_of(leaning)["answer_numeric"]
+
+        def fails(c: Column) -> Column:
+            failed, _ = insurance_violation(c, answer_of(c["id"]), umbrella) if insurance else generic_violation(c)
+            return F.coalesce(failed, F.lit(False))
+
+        return F.size(F.filter(q["columns"], fails))
+
+    questions = F.flatten(F.flatten(F.transform("sections", lambda s: F.transform(
+        F.coalesce(s["subsections"], F.array()), lambda b: b["questions"]))))
+    n = F.aggregate(F.transform(questions, failures), F.lit(0), lambda a, b: a + b)
+    return assessments.select("assessment_id", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_failed")).select(
+        "assessment_id", (F.col("n_failed") > 0).alias("failed"), "n_failed")
 
 
 def template_reasons(assessments: DataFrame, insurance: bool) -> DataFrame:

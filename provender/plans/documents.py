@@ -10,7 +10,6 @@ from provender.operators import validate as V
 from provender.operators.reports import pointer
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
-from provender.session import spread
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -262,8 +261,8 @@ def q_review_actions(spark: SparkSession, sf: str) -> DataFrame:
 WITH l AS (SELECT l_orderkey, min(CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_shipdate AS DATE) END) AS lowest FROM lineitem GROUP BY 1),
 d AS (SELECT o_orderkey AS doc_id, CASE o_custkey % 3 WHEN 0 THEN 'Certificate of Insurance' WHEN 1 THEN '100g Nutritional Information' ELSE 'W-8' END AS type_name,
   CAST(o_orderdate AS DATE) AS declared, lowest, CASE WHEN o_orderstatus = 'F' THEN 'Approved' ELSE 'Awaiting Approval' END AS status FROM orders LEFT JOIN l ON l_orderkey = o_orderkey),
-m AS (SELECT *, CASE WHEN type_name = 'W-8' THEN 'validateResult Errored: Validation of FL Type W-8 unsupported'
-  WHEN lowest IS NULL THEN 'validateResult Errored: Could not extract expiration dates from PDF.'
+m AS (SELECT *, CASE WHEN type_name = 'W-8' THEN 'Validation failed: Validation of type W-8 unsupported'
+  WHEN lowest IS NULL THEN 'Validation failed: Could not extract expiration dates from PDF.'
   WHEN lowest <= DATE '1997-06-01' THEN 'Minimum expiration date found on the document indicates it is already expired: ' || lowest
   WHEN declared > lowest THEN 'Expiration date submitted in the source system (' || declared || ') does not match the minimum expiration date found in the PDF document (' || lowest || ').'
   ELSE '' END AS message FROM d)
@@ -307,7 +306,7 @@ def _assessments(spark: SparkSession, sf: str) -> DataFrame:
                 answer("w", none, F.lit(False))).alias("answers"))
     sections = F.array(F.struct(F.array(F.struct(F.array(question).alias("questions"))).alias("subsections")))
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(li).select(key.alias("assessment_id"), sections.alias("sections"))
+    return li.select(key.alias("assessment_id"), sections.alias("sections"))
 
 
 @query("""

@@ -21,7 +21,7 @@ from provender.registry import (
     BUSINESS_KEY, CREATED_AT, DISTRIBUTOR, INCIDENT_DATE, KEY, LONG_GLN, LONG_NAME, RECEIVER, SHORT_GLN, SHORT_NAME,
     UPDATED_AT, Registry,
 )
-from provender.session import constant_table, spread
+from provender.session import constant_table
 from provender.sources.incidents import snapshot_text
 
 catalog = Catalog()
@@ -319,7 +319,8 @@ def q_type_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 14 = 13 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,
+SELECT o_orderkey, CASE WHEN o_orderkey % 22 = 13 THEN NULL WHEN o_orderkey % 22 = 16 THEN CAST(date_trunc('month', o_orderdate) AS DATE)
+       ELSE CAST(o_orderdate AS DATE) END AS day,
        strftime(o_orderdate, '%Y-%m-%d') AS iso
 FROM orders
 """)
@@ -329,8 +330,10 @@ def q_type_dates(spark: SparkSession, sf: str) -> DataFrame:
     d = F.col("o_orderdate")
     shapes = ["yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy", "MM-dd-yyyy", "M-d-yyyy", "MMM d, yyyy", "MMMM d, yyyy",
               "MMM d yyyy", "MMMM d yyyy", "MMMM d, yyyy h:mma", "MMMM d yyyy h:mma", "yyyy-MM-dd'T'HH:mm:ss'Z'"]
-    cells = F.array(*[F.date_format(d, s) for s in shapes], F.concat(F.lit("2026-02-30"), F.lit("x")))
-    cell = F.element_at(cells, (F.col("o_orderkey") % 14 + 1).cast("int"))
+    free = ["yyyy-M-d", "yyyyMMdd", "yyyy-MM", "yyyy/M/d", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "MMM d, yyyy h:mm a", "yyyy-MM-dd H:mm:ss"]
+    cells = F.array(*[F.date_format(d, s) for s in shapes], F.concat(F.lit("2026-02-30"), F.lit("x")),
+                    *[F.date_format(d, s) for s in free])
+    cell = F.element_at(cells, (F.col("o_orderkey") % 22 + 1).cast("int"))
     return o.select("o_orderkey", parse_day(cell).alias("day"),
                     iso_day(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss")).alias("iso"))
 
@@ -384,7 +387,6 @@ def q_key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
 
 def _incident_text(o: DataFrame, updated: bool) -> DataFrame:
     """Orders as dirty incident text; an update lacks some values."""
-    o = spread(o)
     key = F.col("o_orderkey")
     gone = (key % 4 == 0) if updated else F.lit(False)
     return o.select(

@@ -117,7 +117,7 @@ v AS (SELECT *, CASE WHEN d = 'd2' THEN CASE k % 5 WHEN 0 THEN 'd2c' WHEN 1 THEN
   CASE WHEN d = 'd1' THEN CASE WHEN k % 19 <> 0 THEN 'e1' ELSE 'e2' END END AS e FROM u),
 w AS (SELECT *, CASE WHEN e = 'e1' THEN CASE WHEN k % 5 < 3 THEN 'f1' WHEN k % 5 = 3 THEN 'f2' ELSE 'f3' END END AS f FROM v),
 x AS (SELECT *, CASE WHEN f = 'f2' THEN CASE WHEN k % 2 = 0 THEN 'f2a' ELSE 'f2b' END END AS f2, CASE WHEN f = 'f1' THEN CASE k % 3 WHEN 0 THEN 'g1' WHEN 1 THEN 'g2' ELSE 'g3' END END AS g FROM w),
-y AS (SELECT *, CASE WHEN g IN ('g1', 'g2') AND k % 7 <> 0 THEN 'A1' END AS s1 FROM x),
+y AS (SELECT *, CASE WHEN g = 'g1' AND k % 7 <> 0 THEN 'A1' END AS s1 FROM x),
 z AS (SELECT *, CASE WHEN s1 IS NOT NULL THEN CASE WHEN k % 4 = 0 THEN 'A1a' ELSE 'A1b' END END AS s2, CASE WHEN s1 IS NOT NULL THEN 'B' || (1 + k % 6) END AS s3 FROM y)
 """
 

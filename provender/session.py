@@ -45,16 +45,6 @@ def constant_table(spark: SparkSession, rows: Iterable[Sequence], columns: Seque
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give row work to all cores when the scan has fewer tasks than there are cores.
-
-    A large table has many splits and is returned as it is; only a small one
-    that would run as a single task is redistributed.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 

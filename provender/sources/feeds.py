@@ -52,6 +52,19 @@ def page_schema(feed: str, item: str | None = None) -> T.StructType:
     return T._parse_datatype_string(f"{items} array<{item or shape}>, {ENVELOPE}")
 
 
+def read_items(spark: SparkSession, path: str, feed: str, stream: bool = False) -> DataFrame:
+    """Items of landed pages as they are: one row each, the whole item as JSON text in ``item``."""
+    reader = spark.readStream if stream else spark.read
+    schema = T._parse_datatype_string(f"{FEEDS[feed][1]} array<string>, {ENVELOPE}")
+    return reader.schema(schema).option("multiLine", True).json(path).select(F.explode(FEEDS[feed][1]).alias("item"))
+
+
+def parse_items(items: DataFrame, feed: str, item: str | None = None) -> DataFrame:
+    """The fields of raw items that rules use, as columns."""
+    shape = T._parse_datatype_string(item or FEEDS[feed][0])
+    return items.select(F.from_json("item", shape).alias("item")).select("item.*")
+
+
 def read_pages(spark: SparkSession, path: str, feed: str, stream: bool = False, item: str | None = None) -> DataFrame:
     """Items of landed pages, one row each, as columns of the item's fields."""
     reader = spark.readStream if stream else spark.read
@@ -65,23 +78,43 @@ def in_window(items: DataFrame, feed: str, after: Column, until: Column) -> Data
     return items.where((at > after) & (at <= until))
 
 
-def mirror_rows(items: DataFrame, feed: str) -> DataFrame:
-    """Items as rows of the mirror table: type, business, id, version hash and item.
+# Where an item says under what it is filed: its business, for incidents their type.
+FILED_UNDER = {
+    "documents": "$.shareSource.sourceBusiness._id",
+    "assessments": "$.performedOnBusiness._id",
+    "memberships": "$.business._id",
+    "incidents": "$.incidentType._id",
+    "incident_types": "$._id",
+}
+
+
+def canonical(item: Column) -> Column:
+    """JSON text with sorted keys and no spacing, so equal items have equal texts; null if it is no JSON."""
+    return F.to_json(F.try_parse_json(item))
+
+
+def mirror_rows(items: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """Raw items as rows of the mirror table, and those that cannot be filed.
 
-    An item without a business cannot be filed and is left out.
+    A row has ``type, business_id, item_id, item, version``; the version is a hash
+    of the whole item, so a change in any field, named here or not, is seen. Items
+    that are no JSON, or have no id or nothing to be filed under, are the second
+    table: ``type, item, reason``.
     """
-    business = "performedOnBusiness._id" if feed == "assessments" else (
-        "business._id" if feed == "memberships" else "shareSource.sourceBusiness._id")
-    item = F.struct(*[named(c) for c in items.columns])
-    return items.select(
-        F.lit(feed).alias("type"), F.col(business).alias("business_id"), F.col("_id").alias("item_id"),
-        F.to_json(item, {"ignoreNullFields": "false"}).alias("item")
-    ).where("business_id is not null").withColumn("version", F.md5("item"))
+    rows = items.select(
+        F.lit(feed).alias("type"), F.get_json_object("item", FILED_UNDER[feed]).alias("business_id"),
+        F.get_json_object("item", "$._id").alias("item_id"), "item", canonical(F.col("item")).alias("_canonical"))
+    reason = (F.when(F.col("_canonical").isNull(), "not JSON").when(F.col("item_id").isNull(), "no id")
+              .when(F.col("business_id").isNull(), "nothing to file it under"))
+    judged = rows.withColumn("reason", reason)
+    filed = judged.where("reason is null").select(
+        "type", "business_id", "item_id", F.col("_canonical").alias("item"), F.md5("_canonical").alias("version"))
+    return filed, judged.where("reason is not null").select("type", "item", "reason")
 
 
-def certificates(docs: DataFrame, type_id: str | None, status: str, as_of: Column, business: str | None = None,
-                 archived: bool | None = None) -> DataFrame:
-    """Documents that a certificate query asks for, the last write per id.
+def certificates(docs: DataFrame, type_id: str | None, status: str, as_of: Column, order: str,
+                 business: str | None = None, archived: bool | None = None) -> DataFrame:
+    """Documents that a certificate query asks for, the last write per id by ``order``.
 
     The filters sit before the per-id step, so they reach the scan.
     """
@@ -93,7 +126,6 @@ def certificates(docs: DataFrame, type_id: str | None, status: str, as_of: Colum
         keep = keep & (F.col("shareSource.sourceBusiness._id") == business)
     if archived is not None:
         keep = keep & (F.coalesce("isArchived", F.lit(False)) == archived)
-    order = "landed" if "landed" in docs.columns else "expirationDate"
     return latest_per_key(docs.where(keep), ["_id"], [order])
 
 

@@ -88,9 +88,10 @@ def test_overrides_respect_kept_sources_and_values(spark):
 
 def test_remarked_question(spark):
     question = "Did you email your account rep for recovery options?"
+    remarked = question + " (Be sure to include your id in your email)"
     registry = CORE.extended([(question, "VARCHAR(max)", True)])
-    out = resolve(spark, {question + " (Be sure to include your id in your email)": "yes"}, registry)
-    assert out[question] == "yes"
+    assert resolve(spark, {remarked: "yes"}, registry, renames=[(remarked, question)])[question] == "yes"
+    assert resolve(spark, {remarked: "yes"}, registry)[question] is None
 
 
 def test_case_only_duplicates_keep_the_first():

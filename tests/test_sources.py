@@ -100,8 +100,10 @@ def test_pages(spark, tmp_path):
     assert items.count() == 3
     inside = feeds.in_window(items, "documents", F.lit("2026-01-05").cast("timestamp"), F.lit("2026-02-01").cast("timestamp"))
     assert inside.count() == 0  # the window is open at its start
-    assert feeds.mirror_rows(items, "documents").count() == 2
-    certs = feeds.certificates(items, "t", "Awaiting Approval", F.lit("2026-01-01").cast("timestamp"), archived=False)
+    filed, rejected = feeds.mirror_rows(feeds.read_items(spark, str(tmp_path / "p"), "documents"), "documents")
+    assert filed.count() == 2 and [r.reason for r in rejected.collect()] == ["nothing to file it under"]
+    assert {r._id for r in feeds.parse_items(feeds.read_items(spark, str(tmp_path / "p"), "documents"), "documents").collect()} == {"1", "2", "3"}
+    certs = feeds.certificates(items, "t", "Awaiting Approval", F.lit("2026-01-01").cast("timestamp"), "expirationDate", archived=False)
     assert sorted(r._id for r in certs.collect()) == ["1", "3"]
     got = feeds.attachments(items).where("doc_id = '1'").collect()
     assert [(r.seq, r.file_name) for r in got] == [(2, "x.pdf")]
@@ -109,6 +111,21 @@ def test_pages(spark, tmp_path):
     assert rest.count() == 2
 
 
+def test_mirror_sees_any_field(spark):
+    def versions(feed, *items):
+        df = spark.createDataFrame([(json.dumps(i) if not isinstance(i, str) else i,) for i in items], "item string")
+        filed, rejected = feeds.mirror_rows(df, feed)
+        return {r.item_id: (r.business_id, r.version) for r in filed.collect()}, [r.reason for r in rejected.collect()]
+
+    plain, changed = document("1"), document("1") | {"auditAttributes": {"auditor": "Ann"}}
+    assert versions("documents", plain)[0] != versions("documents", changed)[0]
+    assert versions("documents", plain)[0] == versions("documents", dict(reversed(plain.items())))[0]
+    incident = {"_id": "9", "incidentType": {"_id": "kind"}, "links": [{"href": "x"}]}
+    assert versions("incidents", incident)[0]["9"][0] == "kind"
+    assert versions("incident_types", {"_id": "kind", "name": "n"})[0]["kind"][0] == "kind"
+    assert sorted(versions("documents", "{broken", {"x": 1})[1]) == ["no id", "not JSON"]
+
+
 def test_incident_types_envelope(spark, tmp_path):
     land(tmp_path / "t", "0.json", json.dumps({"items": [{"_id": "1", "name": "n", "statuses": []}], "has_more": False}))
     assert feeds.read_pages(spark, str(tmp_path / "t"), "incident_types").first().name == "n"
