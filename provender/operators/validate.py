@@ -112,7 +112,11 @@ def insurance_violation(c: Column, answer: Column, umbrella: Column) -> tuple[Co
 
 
 def check_template(assessments: DataFrame, insurance: bool) -> DataFrame:
-    """Per assessment (one row each): failed or not, how many columns fail. Nothing is shuffled."""
+    """Per assessment: failed or not, how many columns fail.
+
+    Columns are judged inside their row, so only one count per row is shuffled; rows
+    that repeat an id are taken together.
+    """
     def failures(q: Column) -> Column:
         def answer_of(key: Column) -> Column:
             return F.get(F.filter(q["answers"], lambda a: a["column"] == key), F.lit(0))
@@ -129,7 +133,8 @@ def check_template(assessments: DataFrame, insurance: bool) -> DataFrame:
     questions = F.flatten(F.flatten(F.transform("sections", lambda s: F.transform(
         F.coalesce(s["subsections"], F.array()), lambda b: b["questions"]))))
     n = F.aggregate(F.transform(questions, failures), F.lit(0), lambda a, b: a + b)
-    return assessments.select("assessment_id", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_failed")).select(
+    counted = assessments.select("assessment_id", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_failed"))
+    return counted.groupBy("assessment_id").agg(F.sum("n_failed").alias("n_failed")).select(
         "assessment_id", (F.col("n_failed") > 0).alias("failed"), "n_failed")
 
 
