@@ -29,7 +29,6 @@ _PLAIN_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 # Letters, digits and marks that the library's own rule separates in just this way.
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(rf"[{_LETTER}0-9{_MARK}\n]+")
 _WORD = re.compile(rf"[{_LETTER}]+|[0-9]+|[{_MARK}]+|\n")
 
 
@@ -70,7 +69,8 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         settings = json.loads(self._library.to_str())
         self._byte_level = _is_byte_level(settings)
-        self._added = [a["content"] for a in settings["added_tokens"]]
+        whole = ["\n\n", *(a["content"] for a in settings["added_tokens"])]
+        self._whole = re.compile("|".join(map(re.escape, whole)))
         self._alphabet = _byte_names()
         self._first = _Known(lambda piece: self._piece("", piece), room, room_chars)
         self._later = _Known(lambda piece: self._piece(" ", piece), room, room_chars)
@@ -92,12 +92,13 @@ class Encoder:
         """A word goes to the merge model; a plain piece is the ids of its words."""
         if piece.isalpha() and piece.isascii():
             return self._merged(self._alphabet[32] + piece if before else piece)
-        if not _PLAIN.fullmatch(piece) or "\n\n" in piece or any(a in piece for a in self._added):
+        words = _WORD.findall(piece)
+        if not words or sum(map(len, words)) != len(piece) or self._whole.search(piece):
             return _bytes(self._library.encode(before + piece, add_special_tokens=False).ids)
-        word, *more = _WORD.findall(piece)
-        if not more:
-            return self._merged((before + word).encode().decode("latin-1").translate(self._alphabet))
-        return (self._later if before else self._first)[word] + b"".join(map(self._first.__getitem__, more))
+        if len(words) == 1:
+            return self._merged("".join(map(self._alphabet.__getitem__, (before + piece).encode())))
+        first = (self._later if before else self._first)[words[0]]
+        return first + b"".join(map(self._first.__getitem__, words[1:]))
 
     def _merged(self, named: str) -> bytes:
         return _bytes([t.id for t in self._library.model.tokenize(named)])
