@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provender.llm import embeddings, languages, licenses, mixing, packing, quoting, secrets, simhash, token_files, topk
+from provender.llm import (
+    embeddings,
+    languages,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    quoting,
+    rebuilding,
+    secrets,
+    simhash,
+    token_files,
+    topk,
+    trie,
+    whitening,
+)
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir
@@ -142,6 +157,98 @@ FROM replies JOIN roots USING (conv_id, turn) JOIN bodies USING (rid)
 """
 
 
+def _quality_sql() -> str:
+    """Counts by patterns, the rules as they are, and expectation-maximisation as a recursion over its steps."""
+    n, rules = len(quality.RULES), quality.RULES
+    votes = ", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END" for r in rules)
+    yes = lambda a: f"list_transform(range(1, {n + 1}), lambda j: CASE x.v[j] WHEN 1 THEN {a[0]} WHEN -1 THEN {a[1]} ELSE 1.0::DOUBLE END)"
+    if_good = f"share * list_product({yes(('good[j]', '1 - good[j]'))})"
+    if_bad = f"(1 - share) * list_product({yes(('1 - bad[j]', 'bad[j]'))})"
+    belief = f"list_transform(p, lambda x: {if_good} / ({if_good} + {if_bad}))"
+    weighted = lambda of, sign: f"list_sum(list_transform(range(1, len(p) + 1), lambda i: CASE WHEN p[i].v[j] {sign} THEN p[i].t * ({of}) ELSE 0 END))"
+    right = lambda of, sign, start: (
+        f"list_transform(range(1, {n + 1}), lambda j: ({weighted(of, sign)} + {quality.WEIGHT * start}::DOUBLE)"
+        f" / ({weighted(of, '<> 0')} + {quality.WEIGHT}::DOUBLE))")
+    started = lambda v: "[" + ", ".join([f"{v}::DOUBLE"] * n) + "]"
+    return rf"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS row_, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, regexp_replace(t, '[\x20\x09-\x0D]', '', 'g') AS solid,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+windows AS (
+  SELECT row_, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT row_, words, unnest(range(1, len(words) - 1)) AS i FROM cut)),
+twice AS (
+  SELECT row_, i FROM (SELECT row_, i, count(*) OVER (PARTITION BY row_, w) AS c FROM windows) WHERE c > 1),
+covered AS (
+  SELECT row_, count(DISTINCT i + s) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS s) GROUP BY row_),
+counts AS (
+  SELECT row_, doc_id, len(words)::BIGINT AS n_words, len(solid)::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '[a-z]')) AS n_lower,
+         len(regexp_extract_all(t, '[!-/:-@\[-`{{-~]')) AS n_marks, len(list_distinct(words)) AS n_distinct,
+         len(list_filter(words, lambda w: regexp_full_match(w, '[!-/:-@\[-`{{-~]+'))) AS n_bare
+  FROM cut LEFT JOIN covered USING (row_)),
+voted AS (SELECT *, [{votes}] AS v FROM counts),
+seen AS (SELECT list({{'v': v, 't': t}} ORDER BY v) AS p, sum(t)::DOUBLE AS total FROM (SELECT v, count(*) AS t FROM voted GROUP BY v)),
+steps AS (
+  SELECT 0 AS step, {quality.START_SHARE}::DOUBLE AS share, {started(quality.START_GOOD)} AS good, {started(quality.START_BAD)} AS bad
+  UNION ALL
+  SELECT step + 1,
+         (list_sum(list_transform(range(1, len(p) + 1), lambda i: p[i].t * b[i])) + {quality.WEIGHT * quality.START_SHARE}::DOUBLE)
+           / (total + {quality.WEIGHT}::DOUBLE),
+         {right('b[i]', '> 0', quality.START_GOOD)}, {right('1 - b[i]', '< 0', quality.START_BAD)}
+  FROM (SELECT step, p, total, {belief} AS b FROM steps, seen WHERE step < {quality.STEPS})),
+believed AS (
+  SELECT unnest(p).v AS v, unnest({belief}) AS belief FROM steps, seen WHERE step = {quality.STEPS})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND belief >= {quality.LEAST} AS kept
+FROM voted JOIN believed USING (v)"""
+
+
+QUALITY_SQL = _quality_sql()
+
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS at_
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+  SELECT conv_id, list({'k': len(role) || ':' || role || text, 'w': strlen(text)} ORDER BY at_) AS own
+  FROM turns GROUP BY conv_id),
+shares AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS giver, own,
+         xor(4294967295::BIGINT, list_reduce(
+           list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+           lambda c, b: list_reduce(range(8), lambda z, i: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384::BIGINT) ELSE z >> 1 END, xor(c, b)),
+           4294967295::BIGINT)) % 9 AS h
+  FROM lists),
+rebuilt AS (
+  SELECT s.conv_id, coalesce(g.own[1:s.h], []) || s.own[s.h + 1:] AS seq
+  FROM shares s LEFT JOIN lists g ON g.conv_id = s.giver),
+rows_ AS (
+  SELECT conv_id, d, md5(array_to_string(list_transform(seq[1:d], lambda x: md5(x.k)), ',')) AS key, seq[d].w AS w, len(seq) AS n,
+         CASE WHEN d > 0 THEN md5(array_to_string(list_transform(seq[1:d - 1], lambda x: md5(x.k)), ',')) END AS up
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, key, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(w, 0)) AS w,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM rows_ GROUP BY d, key),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.up = n.key) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.key = n.up),
+totals AS (
+  SELECT r.d, r.key, count(*) FILTER (n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.w) AS saved_tokens
+  FROM linked n JOIN rows_ r ON r.conv_id = n.conv_id AND r.d <= n.d GROUP BY r.d, r.key)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM linked JOIN totals USING (d, key)
+"""
+
+
 @_catalog.query(MIX_SQL)
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the words that a 5:2:1 mix of their sources takes."""
@@ -221,3 +328,31 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations in reply order, without what messages quote."""
     chat = quoting.link_quotes(table(spark, sf_dir, "conversations"))
     return chat.select("conv_id", "turn", "role", "quotes", "linked", "reply_to", "thread", "position", "formatted")
+
+
+@_catalog.query(QUALITY_SQL)
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with what rules vote on and whether their weighed votes keep them."""
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & (F.col("quality") >= quality.LEAST)).alias("kept"))
+
+
+@_catalog.query(TRIE_SQL)
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    nodes = trie.trie_nodes(*rebuilding.rebuilt(table(spark, sf_dir, "conversations")))
+    return nodes.select(F.col("seq_id").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"),
+                        F.col("n_seqs").alias("n_convs"), "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+                        "ends_sha256")
+
+
+@_catalog.query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened along their eight leading components."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), 8)
+    entry = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "entry")
+    return white.select("vec_id", "n", "deviation", "identity_error", entry).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", F.col("entry.whitened").alias("whitened"),
+        F.col("entry.explained").alias("explained"), "identity_error")
