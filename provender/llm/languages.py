@@ -14,7 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Families of closely related languages; a language that isn't listed is a family by itself.
@@ -24,6 +24,8 @@ FAMILIES = {
     "pl": "slavic", "cs": "slavic", "ru": "slavic", "uk": "slavic", "bg": "slavic", "sk": "slavic",
 }
 UNKNOWN = "und"
+#: Times the texts of a sample that are looked at before it is cut.
+SPARE = 1.25
 PAIRS, TRIPLES = 1 << 16, 1 << 17
 WIDTH = PAIRS + TRIPLES
 
@@ -69,19 +71,21 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, allowed: Column, per_language: int = 800, families: Mapping[str, str] = FAMILIES,
           rounds: int = 12) -> Model:
-    """Fit on a bounded sample: about ``per_language`` allowed documents of every language.
+    """Fit on a bounded sample: at most ``per_language`` different allowed texts of every language.
 
-    Which documents are taken follows from a hash of the text. The driver gets the
-    counted features of the sample, never a text. Rows with a null language or
+    Which texts are taken follows from a hash of the text; copies count once. The driver
+    gets the counted features of the sample, never a text. Rows with a null language or
     without letters teach nothing.
     """
     known = docs.select("lang", "text", allowed.alias("_ok")).where(F.col("_ok") & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     share = F.lit(0.0)
     for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
+        share = F.when(F.col("lang") == lang, min(1.0, SPARE * per_language / n)).otherwise(share)
     unit = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = known.where((unit < share) & F.col("text").rlike(r"\p{L}")).select("lang", "text")
+    few = known.where((unit < share) & F.col("text").rlike(r"\p{L}")).select("lang", "text").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
+    sample = few.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from provender.llm.names import spare
+
 WORD = r"[^\x20\x09-\x0D]+"
 ADDED = ("size", "source_size", "target", "copies", "taken")
 
@@ -114,8 +116,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 def emitted(mixed: DataFrame) -> DataFrame:
     """The rows of the mix: each document as often as it is taken."""
     kept = [c for c in mixed.columns if c not in ADDED]
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return mixed.select(*[F.col(f"`{c}`") for c in kept], copies.alias("_copy")).drop("_copy")
+    copies, name = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))), spare(mixed.columns, "_copy")
+    return mixed.select(*[F.col(f"`{c}`") for c in kept], copies.alias(name)).drop(name)
 
 
 def hex_number(digest: Column, digits: int) -> Column:

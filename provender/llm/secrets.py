@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from provender.llm.names import spare
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -94,7 +96,7 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     one. Repeated contents are scanned once, wherever they lie. An empty table
     scans nothing.
     """
-    spark, version = versions.sparkSession, rules_version(rules)
+    spark, version, salt = versions.sparkSession, rules_version(rules), spare(versions.columns, "_salt")
     kept = [F.col(f"`{c}`") for c in versions.columns if c not in ("blob", "found")]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     blobs = versions.select(*kept, F.sha2(text.cast("binary"), 256).alias("blob"))
@@ -111,10 +113,10 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     known = (
         read_ledger(spark, ledger).where((F.col("rules") == version) & (F.size("found") > 0))
         .groupBy("blob").agg(F.max("found").alias("found"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    salted = blobs.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    return salted.join(known, ["blob", "_salt"], "left").select(
+    salted = blobs.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(known, ["blob", salt], "left").select(
         *kept, "blob", F.coalesce("found", F.from_json(F.lit("[]"), FOUND)).alias("found"))
 
 

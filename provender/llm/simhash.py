@@ -48,16 +48,18 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and the signed 64-bit ``fingerprint`` of every row's whole ``text``."""
+def fingerprints(docs: DataFrame, shingle: int, text_key: Column | None = None) -> DataFrame:
+    """``doc_id`` and the signed 64-bit ``fingerprint`` of every row's whole ``text``; ``text_key`` goes along if given."""
+    names = ["doc_id", "fingerprint"] + (["text_key"] if text_key is not None else [])
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([text_fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))],
-                                             names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(made, "doc_id bigint, fingerprint bigint")
+    more = [] if text_key is None else [text_key.alias("text_key")]
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *more) \
+        .mapInArrow(made, "doc_id bigint, fingerprint bigint" + (", text_key string" if more else ""))
 
 
 def near_fingerprints(points: DataFrame, distance: int, segments: int = 2) -> DataFrame:
@@ -112,14 +114,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, segmen
 
 
 def kept_documents(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One row of each component: that of the smallest id, and of rows that repeat it one.
+    """One row of each component: that with the smallest id, then fingerprint, then hash of the text.
 
-    Rows with a null id have no place in an order; they stay.
+    An id that repeats with texts of different components has a row in each it is the
+    smallest of. Rows with a null id have no place in an order; they stay.
     """
-    out = near_duplicates(docs, shingle, distance)
-    keep = out.where("doc_id = component_id").select("doc_id").distinct()
-    once = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).join(keep, "doc_id", "left_semi")
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col("doc_id").isNull()))
+    text_key = F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))
+    marked = written(fingerprints(docs, shingle, text_key), "fingerprints")
+    roots = _roots(marked, distance)
+    row = F.struct("doc_id", "fingerprint", "text_key")
+    keep = marked.where("doc_id is not null").join(roots, "fingerprint").groupBy("root").agg(F.min(row).alias("row")).select(
+        F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"))
+    whole = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("bigint").alias("_id"), text_key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    # Rows equal in id and text may differ elsewhere; which of them stays follows from their contents.
+    once = whole.join(keep, ["_id", "_key"]).groupBy("_id", "_key").agg(
+        F.min_by("_row", F.sha2(F.to_json("_row").cast("binary"), 256)).alias("_row"))
+    return once.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _roots(marked: DataFrame, distance: int, segments: int = 2) -> DataFrame:
+    return written(near_fingerprints(marked.select("fingerprint").distinct(), distance, segments), "roots")
 
 
 def _bounds(segments: int) -> list[tuple[int, int]]:

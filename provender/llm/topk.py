@@ -36,15 +36,19 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 10, factor: int = 1024) ->
     Returns ``query_id, rank, vec_id, score`` by integer inner product of the
     ``scaled`` components, ties to the smaller ``vec_id``. Rows whose vector is null
     or holds a null or non-finite component take no part; vectors meet only those
-    of their own length. A query with fewer candidates gets them all. Rows that
+    of their own length. So that every score fits 64 bits, components of a vector of d
+    lie within 2**31 / sqrt(d) after scaling; a vector beyond that takes no part either.
+    A query with fewer candidates gets them all. Rows that
     repeat are candidates each, also those with the query's own id, but not the
     query's own row; equal ids then share an order of their own. An empty table
     gives no rows; extra columns are left out.
     """
     finite = F.forall(F.col("embedding").cast("array<double>"),
                       lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    furthest = F.lit(2.0**31) / (F.sqrt(F.size("embedding").cast("double")) * float(factor))
+    small = F.forall(F.col("embedding").cast("array<double>"), lambda x: F.abs(x) <= furthest)
     rows = written(
-        vectors.where(F.coalesce(finite, F.lit(False)))
+        vectors.where(F.coalesce(finite & small, F.lit(False)))
         .select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("bigint").alias("vec_id"),
                 scaled(F.col("embedding"), factor).alias("x"), F.coalesce(asks, F.lit(False)).alias("asks")), "vectors")
     asked = rows.where("asks").select("row", "x")

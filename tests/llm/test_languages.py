@@ -60,3 +60,13 @@ def test_long_texts_are_read_whole():
     whole = weights[languages.features(text)].mean(dtype=np.float64)
     for step in (3, 512, 5001, 10_000):
         assert abs(whole - languages._mean_weights(text, weights, step)) < 1e-9
+
+
+def test_sample_is_bounded_by_different_texts(spark, monkeypatch):
+    rows = [(i, "always the same text again", "en") for i in range(3000)] + [(i, f"text number {i} of the others", "en") for i in range(3000, 6000)]
+    rows += [(i, f"ein anderer satz {i} noch", "de") for i in range(6000, 6500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    seen, fit = [], languages._fit
+    monkeypatch.setattr(languages, "_fit", lambda a, b, left, right, *rest: seen.append((len(left), len(right))) or fit(a, b, left, right, *rest))
+    languages.train(df, F.lit(True), per_language=50)
+    assert seen and all(n <= 50 for pair in seen for n in pair)

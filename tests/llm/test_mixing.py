@@ -55,3 +55,10 @@ def test_empty_null_and_repeated(spark):
     out = mixing.mix(spark.createDataFrame(rows, schema)).collect()
     assert len(out) == len(rows)
     assert {(r.source, r.taken) for r in out if r.source in (None, "a")} == {(None, 0), ("a", 0)}
+
+
+def test_emitted_rows_keep_clashing_columns(spark):
+    mixed = mixing.mix(spark.createDataFrame([(1, "a b", "s", "kept"), (2, "a", "s", "too")], "doc_id long, text string, source string, _copy string"))
+    out = mixing.emitted(mixed)
+    assert out.columns == ["doc_id", "text", "source", "_copy"]
+    assert {r._copy for r in out.collect()} <= {"kept", "too"}

@@ -71,3 +71,9 @@ def test_redaction(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert secrets.scan_versions(table(spark, ["a"]).limit(0), str(tmp_path / "ledger")).collect() == []
+
+
+def test_clashing_columns_stay(spark, tmp_path):
+    df = spark.createDataFrame([("a", "AKIA" + "Q" * 16, "x")], "path string, text string, _salt string")
+    row = secrets.scan_versions(df, str(tmp_path / "ledger")).first()
+    assert (row.path, row._salt, len(row.found)) == ("a", "x", 1)

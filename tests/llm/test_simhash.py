@@ -106,3 +106,17 @@ def test_components(spark, kind):
     real = [(place[a], place[b]) for a, b in pairs if a != b]
     root = smallest_reached(len(order), np.array([a for a, _ in real], int), np.array([b for _, b in real], int))
     assert got == {n: order[root[i]] for n, i in place.items()}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_kept_rows_of_an_id_with_several_texts(spark, parts):
+    pick = random.Random(9)
+    a, b, c = (" ".join(pick.choice("abcdefgh") * 3 + str(pick.randrange(99)) for _ in range(80)) for _ in range(3))
+    rows = [(2, a, "x"), (5, a, "x"), (5, b, "x"), (9, c, "x"), (9, c, "y"), (9, c, "x"), (11, a, "x")]
+    kept = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, _row string").repartition(parts)
+        got = simhash.kept_documents(df, 3, 3).collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted([(2, a), (5, b), (9, c)])
+        kept.add(next(r._row for r in got if r.doc_id == 9))
+    assert len(kept) == 1

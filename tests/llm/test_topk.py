@@ -52,3 +52,13 @@ def test_bounds_hold():
     lower, upper = topk.bound(q, ((x - low) // step).astype(np.uint8), low, step)
     exact = q @ x.T
     assert (lower <= exact).all() and (exact <= upper).all()
+
+
+def test_components_whose_products_leave_64_bits(spark):
+    rows = [(0, [1e16, 1.0]), (100, [1e16, 2.0]), (200, [1e5, 1.0]), (1, [1.0, 1.0]), (2, [-1e6, 3.0]), (3, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, 10).collect()]
+    x = {i: [math.floor(1024 * c) for c in v] for i, v in rows if max(map(abs, v)) * 1024 <= 2**31 / 2**0.5}
+    assert set(x) == {200, 1, 2}
+    assert sorted(got) == sorted((200, n + 1, i, s) for n, (s, i) in enumerate(sorted(
+        ((sum(a * b for a, b in zip(x[200], x[i], strict=True)), i) for i in (1, 2)), key=lambda t: (-t[0], t[1]))))
