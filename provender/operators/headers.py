@@ -334,9 +334,12 @@ def positional(df: DataFrame, headers: Sequence[str]) -> DataFrame:
 
 
 def union_by_header_set(parts: Sequence[tuple[Sequence[str], DataFrame]], registry: Registry,
-                        overrides: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """Resolve each group of files by its own header set, then put them together."""
-    resolved = [HeaderPlan(headers, registry, overrides).project(df) for headers, df in parts]
+                        overrides: Sequence[tuple[str, str]] = (), renames: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Resolve each group of files by its own header set, then put them together.
+
+    ``renames`` are exact pairs of names that apply after all rules, beside the fixed ones.
+    """
+    resolved = [HeaderPlan(headers, registry, overrides, renames=renames).project(df) for headers, df in parts]
     return reduce(lambda a, b: a.unionByName(b), resolved)
 
 

@@ -124,27 +124,49 @@ def q_stream_capture(spark: SparkSession, sf: str) -> DataFrame:
     return SC.current_state(spark, f"{base}/store", "item_id").select("item_id", "event_type", "change", "handled", "route")
 
 
-@query("""
-WITH s AS (SELECT user_id AS job_id, hour(ts) AS attachment, event_type AS kind FROM events WHERE event_type <> 'view'),
-f AS (SELECT DISTINCT job_id, attachment, CASE WHEN attachment % 5 = 0 THEN 'failure' ELSE 'success' END AS status FROM s)
-SELECT job_id, count(*) AS n_final, count(*) FILTER (WHERE status = 'success') AS n_success,
-       min(attachment) FILTER (WHERE status = 'success') AS chosen
-FROM f GROUP BY job_id HAVING count(*) >= 18
-""")
-def q_stream_completion(spark: SparkSession, sf: str) -> DataFrame:
-    """Work items whose attachments have all reached a final status, from a stream."""
-    base = scratch_dir(spark, "completion")
-    attachment = F.hour("ts")
-    status = F.when(F.col("event_type") == "view", "running").when(attachment % 5 == 0, "failure").otherwise("success")
+# Work items start on different days and have ten; an attachment's status changes several times.
+LIMIT_DAYS = 10
+COMPLETION_SQL = f"""
+WITH s AS (
+  SELECT 'job-' || user_id AS job_id, 'file-' || (hour(ts) % 5) AS attachment, ts, 3 + user_id % 3 AS n_expected,
+         CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failure' ELSE 'running' END AS status,
+         TIMESTAMP '2024-01-01' + to_days((user_id % 23)::INTEGER) + to_days({LIMIT_DAYS}) AS deadline FROM events),
+a AS (
+  SELECT job_id, attachment, max_by(status, (ts, status)) AS status, min(ts) AS first
+  FROM s WHERE status <> 'running' AND ts < deadline GROUP BY job_id, attachment),
+f AS (
+  SELECT job_id, count(*) AS n_final, count(*) FILTER (status = 'success') AS n_success,
+         min_by(attachment, (first, attachment)) FILTER (status = 'success') AS chosen FROM a GROUP BY job_id),
+j AS (SELECT job_id, max(n_expected) AS n_expected, max(deadline) AS deadline FROM s GROUP BY job_id),
+o AS (
+  SELECT job_id, coalesce(n_final, 0) AS n_final, coalesce(n_success, 0) AS n_success, chosen,
+         CASE WHEN n_final >= n_expected THEN 'complete'
+              WHEN deadline < (SELECT max(ts) FROM events) THEN 'timeout' ELSE 'open' END AS outcome
+  FROM j LEFT JOIN f USING (job_id))
+"""
+
+
+def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.when(F.col("event_type") == "purchase", "success").when(F.col("event_type") == "error", "failure").otherwise("running")
+    started = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval((F.col("user_id") % 23).cast("int"))
     statuses = _event_stream(spark, sf).select(
-        F.col("user_id").alias("job_id"), attachment.alias("attachment"), status.alias("status"),
-        F.lit(18).alias("n_expected"), "ts")
-    # The limit exceeds the month the events cover, so a repeat is always recognised.
-    ST.start_final_statuses(statuses, f"{base}/finals", f"{base}/c1", limit="40 days").awaitTermination()
-    schema = spark.read.parquet(f"{base}/finals").schema
-    finals = spark.readStream.schema(schema).parquet(f"{base}/finals")
-    ST.start_completion(finals, f"{base}/done", f"{base}/c2").awaitTermination()
-    return spark.read.parquet(f"{base}/done").select("job_id", "n_final", "n_success", "chosen")
+        F.concat(F.lit("job-"), F.col("user_id")).alias("job_id"), F.concat(F.lit("file-"), F.hour("ts") % 5).alias("attachment"),
+        status.alias("status"), (3 + F.col("user_id") % 3).alias("n_expected"), started.alias("started"), "ts")
+    base = scratch_dir(spark, "completion")
+    ST.start_completion(statuses, f"{base}/outcomes", f"{base}/checkpoint", limit=f"{LIMIT_DAYS} days").awaitTermination()
+    return spark.read.schema(ST.OUTCOMES).parquet(f"{base}/outcomes")
+
+
+@query(COMPLETION_SQL + "SELECT job_id, n_final, n_success, chosen FROM o WHERE outcome = 'complete'")
+def q_stream_completion(spark: SparkSession, sf: str) -> DataFrame:
+    """Work items whose attachments all reached a final status in time, from a stream."""
+    return _outcomes(spark, sf).where("outcome = 'complete'").drop("outcome")
+
+
+@query(COMPLETION_SQL + "SELECT job_id, n_final, n_success FROM o WHERE outcome = 'timeout'")
+def q_stream_timeout(spark: SparkSession, sf: str) -> DataFrame:
+    """Work items that ran out of time before all their attachments were final, from a stream."""
+    return _outcomes(spark, sf).where("outcome = 'timeout'").select("job_id", "n_final", "n_success")
 
 
 @query("""

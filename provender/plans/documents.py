@@ -10,6 +10,8 @@ from provender.operators import validate as V
 from provender.operators.reports import pointer
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
+from provender.session import scratch_dir, use_utc
+from provender.streaming.triage import start_triage
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -120,6 +122,33 @@ def q_triage(spark: SparkSession, sf: str) -> DataFrame:
     return _routed(spark, sf).select("doc_id", "status", "type_name", "route")
 
 
+@query(TRIAGE_SQL)
+def q_stream_triage(spark: SparkSession, sf: str) -> DataFrame:
+    """The same routes from a stream of change events, some of which carry no document."""
+    use_utc(spark)
+    schema = spark.read.parquet(f"{sf}/orders.parquet").schema
+    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    status = F.when(F.col("o_orderstatus") == "O", "Awaiting Approval").when(F.col("o_orderstatus") == "F", "Approved").otherwise("Rejected")
+    mirror = F.struct(
+        F.lit(1).alias("version"), (F.col("o_totalprice") < 2000).alias("deleted"),
+        pick([D.CERTIFICATE, "GFSI Audit", "Mystery", "COA", None], F.col("o_custkey") % 5).alias("type_name"),
+        status.alias("status"), (F.col("o_orderpriority") == "5-LOW").alias("draft"), (F.col("o_orderpriority") == "1-URGENT").alias("us"))
+    events = orders.withColumn("mirrored", F.explode(F.array(F.lit(True), F.lit(False)))).select(
+        F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").alias("business_id"), F.when(F.col("mirrored"), mirror).alias("mirror"))
+
+    def partners(session: SparkSession) -> DataFrame:
+        c = table(session, sf, "customer").where("c_acctbal > 0")
+        return c.select(F.col("c_custkey").alias("business_id"), F.concat(F.lit("p"), F.col("c_custkey")).alias("masterid"))
+
+    def jobs(session: SparkSession) -> DataFrame:
+        return table(session, sf, "lineitem").where("l_linestatus = 'O'").groupBy(F.col("l_orderkey").alias("doc_id")).agg(
+            F.count("*").alias("open_jobs"))
+
+    base = scratch_dir(spark, "triage")
+    start_triage(events, partners, jobs, f"{base}/routes", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/routes").select("doc_id", "status", "type_name", "route")
+
+
 @query(f"""
 SELECT md5(doc_id || '|1') AS job_id, doc_id, status, route NOT IN ('reprocess', 'queue-no-rejection') AS allow_rejection
 FROM ({TRIAGE_SQL}) WHERE route IN ('queue', 'diagnostic', 'reprocess', 'queue-no-rejection')

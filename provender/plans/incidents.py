@@ -21,8 +21,10 @@ from provender.registry import (
     BUSINESS_KEY, CREATED_AT, DISTRIBUTOR, INCIDENT_DATE, KEY, LONG_GLN, LONG_NAME, RECEIVER, SHORT_GLN, SHORT_NAME,
     UPDATED_AT, Registry,
 )
-from provender.session import constant_table
-from provender.sources.incidents import snapshot_text
+from provender.session import constant_table, scratch_dir
+from provender.sources.incidents import read_incidents, snapshot_text
+from provender.sources.sinks import upsert_table
+from provender.sources.versioned import replace_table
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -258,9 +260,9 @@ def q_unfed_columns(spark: SparkSession, sf: str) -> DataFrame:
     pairs = constant_table(spark, H.lineage(list(CORPUS_HEADERS.values()), small), ["header", "target"])
     usage = H.mapping_usage(cells, pairs)
     registry = constant_table(spark, [(s.name, s.kind, not s.nullable) for s in small.active()], ["target", "kind", "required"])
-    total = cells.where(F.col("header") == KEY).agg(F.sum("n_rows").alias("n_rows"))
+    total = cells.where(F.col("header") == KEY).agg(F.sum("n_rows")).first()[0]
     unfed = H.unfed_columns(usage, registry).groupBy("required").agg(F.count("*").alias("n_columns"))
-    return unfed.crossJoin(total)  # two rows against one total
+    return unfed.withColumn("n_rows", F.lit(total))
 
 
 @query("""
@@ -424,16 +426,49 @@ FROM s
 
 @query(UPSERT_SQL)
 def q_upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Dirty text, resolved and typed, merged into the stored rows without losing values."""
+    """Dirty text, resolved and typed, merged into the stored table without losing values."""
     target, updates = _target_and_updates(spark, sf)
-    updates = updates.withColumn("_seq", F.lit(1))
-    merged = M.merge_incidents(target, updates, ORDER_REGISTRY, KEY, ["_seq"])
+    stored = scratch_dir(spark, "incidents")
+    replace_table(spark, stored, target)
+    merged = upsert_table(spark, updates.withColumn("_seq", F.lit(1)), stored, ORDER_REGISTRY, KEY, ["_seq"])
     return merged.select(
         F.col(KEY).alias("id"), named(BUSINESS_KEY).alias("incident_id"), named(CREATED_AT).alias("created"),
         named(LONG_NAME).alias("location"), F.col("Description").alias("description"),
         (named("Credit Amount") * 100).cast("bigint").alias("credit_cents"), named("Still have the product?").alias("still_have"))
 
 
+# The same columns under three header rows: other names, another order, a long question.
+LANDED_HEADERS = [
+    {},
+    {"My Location Name": LONG_NAME},
+    {"Still have the Product?": "Is any of it left, and where?"},
+]
+LANDED_RENAMES = [("Is any of it left, and where?", "Still have the product?")]
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS incident_id, CAST(o_orderdate AS DATE) AS created,
+       'Loc ' || o_custkey AS location, 'v1 ' || o_orderpriority AS description,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS credit_cents,
+       CASE WHEN o_orderkey % 2 = 0 THEN true END AS still_have
+FROM orders
+""")
+def q_landed_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files of three header rows, landed, found by their headers, and read as one typed table."""
+    folder = scratch_dir(spark, "landed")
+    rows = _incident_text(table(spark, sf, "orders"), False)
+    for i, names in enumerate(LANDED_HEADERS):
+        part = rows.where(F.pmod(F.xxhash64("Id"), F.lit(len(LANDED_HEADERS))) == i).withColumnsRenamed(names)
+        order = part.columns[i:] + part.columns[:i]
+        part.select(*[named(c) for c in order]).write.csv(f"{folder}/{i}", header=True, quote='"', escape='"')
+    paths = [f"{folder}/{i}" for i in range(len(LANDED_HEADERS))]
+    read = read_incidents(spark, paths, ORDER_REGISTRY, multi_line=False, renames=LANDED_RENAMES)
+    return read.select(
+        F.col(KEY).alias("id"), named(BUSINESS_KEY).alias("incident_id"), named(CREATED_AT).alias("created"),
+        named(LONG_NAME).alias("location"), F.col("Description").alias("description"),
+        (named("Credit Amount") * 100).cast("bigint").alias("credit_cents"), named("Still have the product?").alias("still_have"))
+
+
 @query("""
 SELECT user_id AS key, max_by(event_type, ts) AS last_type,
        max_by(CASE WHEN value < 50 THEN value END, CASE WHEN value < 50 THEN ts END) AS last_small,

@@ -5,57 +5,68 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from provender.functions.text import named, strip
-from provender.operators.headers import HeaderPlan, cell_counts, positional, union_by_header_set
+from provender.operators.headers import cell_counts, positional, union_by_header_set
 from provender.operators.rows import conform
 from provender.registry import Registry
+from provender.session import written
 
-HEAD_BYTES = 1 << 16
+def _open(line: Column) -> Column:
+    """Whether a line breaks off inside quotes."""
+    return F.regexp_count(line, F.lit('"')) % 2 == 1
 
 
-def _first_record(path: str) -> list[str]:
-    """The first CSV record of a file, reading no more of it than that needs."""
-    from pyarrow import fs
+def _first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``file, line``: the first line of every file, read by Spark wherever the files lie.
 
-    system, inner = fs.FileSystem.from_uri(path)
-    with system.open_input_stream(inner) as stream:
-        head = b""
-        while True:
-            block = stream.read(HEAD_BYTES)
-            head += block
-            record = head.decode("utf-8-sig", errors="replace")
-            # A record ends at a line break outside quotes.
-            if not block or ("\n" in record and record[: record.rindex("\n")].count('"') % 2 == 0):
-                return next(csv.reader(io.StringIO(record)), [])
+    The lines of a file's first block are one task's, in order; each task keeps one per file.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    return lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+
+
+def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First records of files whose header row has line breaks inside quotes."""
+    seen: dict[str, str] = {}
+    done: set[str] = set()
+    for batch in batches:
+        for file, value in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist(), strict=True):
+            if file in done:
+                continue
+            seen[file] = f"{seen[file]}\n{value}" if file in seen else value
+            if seen[file].count('"') % 2 == 0:
+                done.add(file)
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([seen.pop(file)])], names=["file", "line"])
 
 
 def header_sets(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
     """Group files by header row: (headers, paths).
 
-    Executors read the head of each file; what comes back is one header list
-    per file, metadata of the size of the file listing.
+    Files are grouped in a table; the driver gets one row per distinct header row, with
+    the paths that are read together by it.
     """
-    files = spark.read.text(path).inputFiles()
-    if not files:
-        return []
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(headers=[_first_record(p) for p in batch["path"]])
-
-    listing = spark.createDataFrame([(f,) for f in files], "path string")
-    found = listing.repartition(min(len(files), spark.sparkContext.defaultParallelism)).mapInPandas(
-        heads, "path string, headers array<string>")
-    groups: dict[tuple, list[str]] = {}
-    for row in found.collect():
-        groups.setdefault(tuple(row.headers or ()), []).append(row.path)
-    return [(list(h), sorted(p)) for h, p in sorted(groups.items()) if h]
+    first = written(_first_lines(spark, path), "headers")
+    whole = first.where(~_open(F.col("line")))
+    cut = [r.file for r in first.where(_open(F.col("line"))).select("file").collect()]  # rare, and no more than the listing
+    if cut:
+        lines = spark.read.text([unquote(f) for f in cut]).select(
+            F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("block"))
+        whole = whole.unionByName(lines.where("block = 0").drop("block").mapInArrow(_first_records, "file string, line string"))
+    groups = whole.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found: dict[tuple, list[str]] = {}
+    for row in groups.collect():
+        headers = tuple(next(csv.reader(io.StringIO(row.line.removeprefix("\ufeff"))), []))
+        found.setdefault(headers, []).extend(unquote(f) for f in row.files)
+    return [(list(h), sorted(p)) for h, p in sorted(found.items()) if h]
 
 
 def read_window_files(spark: SparkSession, paths: Sequence[str], headers: Sequence[str],
@@ -75,13 +86,14 @@ def read_window_files(spark: SparkSession, paths: Sequence[str], headers: Sequen
 
 
 def read_incidents(spark: SparkSession, path: str | Sequence[str], registry: Registry,
-                   overrides: Sequence[tuple[str, str]] = (), multi_line: bool = True) -> DataFrame:
-    """All landed files below ``path`` as typed incident rows."""
+                   overrides: Sequence[tuple[str, str]] = (), multi_line: bool = True,
+                   renames: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """All landed files below ``path`` as typed incident rows; ``renames`` as in ``union_by_header_set``."""
     parts = [(h, read_window_files(spark, p, h, multi_line)) for h, p in header_sets(spark, path)]
     if not parts:
         return conform(spark.createDataFrame([], T.StructType([])).select(
             *[F.lit(None).cast("string").alias(n) for n in registry.active_names()]), registry)
-    return conform(union_by_header_set(parts, registry, overrides), registry)
+    return conform(union_by_header_set(parts, registry, overrides, renames), registry)
 
 
 def corpus_counts(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> tuple[DataFrame, list[str]]:
@@ -120,5 +132,5 @@ def whitelist_header(spark: SparkSession, path: str) -> list[str] | None:
     return found[0][0] if found else None
 
 
-__all__ = ["HeaderPlan", "corpus_counts", "header_sets", "read_incidents", "read_snapshot", "read_window_files",
+__all__ = ["corpus_counts", "header_sets", "read_incidents", "read_snapshot", "read_window_files",
            "snapshot_text", "whitelist_header"]

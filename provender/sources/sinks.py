@@ -1,4 +1,4 @@
-"""Writers: tables, staged overwrite, CSV and JSON reports."""
+"""Writers: tables, day partitions, ordered files, CSV and JSON reports."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from provender.functions.text import drop_commas, named
 from provender.operators.merge import evolve, merge_incidents
 from provender.registry import Registry
+from provender.sources import versioned
 
 # Where incidents go when nothing is configured.
 DEFAULT_SCHEMA, DEFAULT_TABLE = "dbo", "incidents"
@@ -26,28 +27,25 @@ def table_name(raw: str | None) -> tuple[str, str]:
     return parts[0] or DEFAULT_SCHEMA, parts[-1] or DEFAULT_TABLE
 
 
-def ensure_table(spark: SparkSession, path: str, registry: Registry) -> DataFrame:
+def ensure_table(spark: SparkSession, table: str, registry: Registry) -> DataFrame:
     """The stored table, created empty if absent, with any missing columns added."""
-    from pyspark.errors import AnalysisException
+    if versioned.current(spark, table) is None:
+        versioned.replace_table(spark, table, spark.createDataFrame([], registry.schema()), number=1)
+    return evolve(versioned.read_table(spark, table), registry)
 
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
-        spark.createDataFrame([], registry.schema()).write.parquet(path)
-        table = spark.read.parquet(path)
-    return evolve(table, registry)
 
+def upsert_table(spark: SparkSession, source: DataFrame, table: str, registry: Registry, key: str, order: list[str]) -> DataFrame:
+    """Merge a window into the stored table and switch to the result at once.
 
-def upsert_table(spark: SparkSession, source: DataFrame, current: str, staged: str, registry: Registry,
-                 key: str, order: list[str]) -> DataFrame:
-    """Merge a window into the table at ``current`` and write the result to ``staged``.
-
-    Parquet has no merge in place, so each version is a new folder. A run that
-    is repeated writes the same rows again.
+    Readers see the old version until the new one is whole. A run that dies before the
+    switch changes nothing and can be repeated; one that merged into a version which is
+    no longer the last fails instead of losing the other's rows.
     """
-    merged = merge_incidents(ensure_table(spark, current, registry), source, registry, key, order)
-    merged.write.mode("overwrite").parquet(staged)
-    return spark.read.parquet(staged)
+    stored = ensure_table(spark, table, registry)
+    number = versioned.current(spark, table).number
+    merged = merge_incidents(stored, source, registry, key, order)
+    versioned.replace_table(spark, table, merged, number + 1)
+    return versioned.read_table(spark, table)
 
 
 def append_mirror(rows: DataFrame, path: str) -> None:

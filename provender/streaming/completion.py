@@ -1,101 +1,136 @@
-"""Completion of work items and superseding of open ones, as streams.
+"""Completion of work items, their time limit, and superseding of open ones, as streams.
 
-Work is split into small queries, each with one stateful step or none, joined
-by tables. Counting uses Spark's own aggregates, which reduce each input task
-before the shuffle, so one work item with a third of all statuses stays cheap.
-Only the time limit keeps custom state: two short rows per work item.
+Completion keeps keyed state: per work item the last final status of each attachment, and
+an event-time timer at its time limit. A final status replaces the attachment's earlier
+one (an extraction may be tried again); a repeat changes nothing. State ends with the
+limit, so it is bounded by the work items of one limit. Rows are taken in any order and
+never held together, so a work item with very many statuses costs its attachments only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from provender.functions.text import named
 from provender.operators.documents import FINAL_STATUSES
 from provender.operators.ordered import with_next
+from provender.sources import versioned
 
 BATCH = "batch"
+#: Keyed state of this kind is kept by the RocksDB provider.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+OUTCOMES = "job_id string, outcome string, n_final bigint, n_success bigint, chosen string"
+_JOB = "expected bigint, deadline bigint, n_final bigint, n_success bigint, done boolean"
+_ATTACHMENT = "status string, at bigint, first bigint"
 
 
 def _trigger(writer, interval: str | None):
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def _read_before(spark: SparkSession, store: str, schema: str, batch_id: int) -> DataFrame:
-    """What earlier batches wrote; a repeated batch does not see its own rows."""
+@contextmanager
+def _state_store(spark: SparkSession) -> Iterator[None]:
+    """The store that keyed state needs, for queries started within."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
     try:
-        return spark.read.parquet(store).where(F.col("at_batch") < batch_id)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
-def _write_batch(rows: DataFrame, store: str, batch_id: int) -> None:
-    rows.withColumn("at_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-        f"{store}/{BATCH}={batch_id:012d}")
-
-
-def start_final_statuses(statuses: DataFrame, out: str, checkpoint: str, limit: str = "24 hours",
-                         interval: str | None = None) -> StreamingQuery:
-    """Keep the first final status of each attachment; repeats within the limit are dropped."""
-    final = statuses.where(F.col("status").isin(*FINAL_STATUSES)).withWatermark("ts", limit)
-    once = final.dropDuplicatesWithinWatermark(["job_id", "attachment"])
-    writer = once.writeStream.format("parquet").outputMode("append").option("path", out).option(
-        "checkpointLocation", checkpoint)
-    return _trigger(writer, interval).start()
-
-
-def start_completion(finals: DataFrame, store: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Write a row for each work item in the batch that completes it, once.
-
-    ``finals``: ``job_id, attachment, status, n_expected, ts``, one per attachment.
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+class Completion(StatefulProcessor):
+    """Watches one work item: done when all its attachments are final, too late at its limit."""
+
+    def __init__(self, limit: str) -> None:
+        self.limit = int(pd.Timedelta(limit).total_seconds() * 1_000_000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.job = handle.getValueState("job", _JOB)
+        self.attachments = handle.getMapState("attachments", "attachment string", _ATTACHMENT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        expected, deadline, n_final, n_success, done = self.job.get() if self.job.exists() else (None, None, 0, 0, False)
+        for frame in rows:
+            for attachment, status, n, started, at in zip(
+                    frame["attachment"], frame["status"], frame["n_expected"], frame["started"], frame["at"], strict=True):
+                if deadline is None:
+                    deadline = int(started) + self.limit
+                    self.handle.registerTimer(deadline // 1000)
+                if not pd.isna(n):
+                    expected = max(int(n), expected or 0)
+                if done or attachment is None or status not in FINAL_STATUSES or at >= deadline:
+                    continue
+                one = (attachment,)
+                known = self.attachments.getValue(one) if self.attachments.containsKey(one) else None
+                first = int(at) if known is None else min(int(at), known[2])
+                newer = known is None or (int(at), status) > (known[1], known[0])
+                kept = (status, int(at)) if newer else known[:2]
+                if known is None:
+                    n_final += 1
+                n_success += (kept[0] == "success") - (known is not None and known[0] == "success")
+                self.attachments.updateValue(one, (*kept, first))
+        complete = not done and n_final > 0 and n_final >= (n_final if expected is None else expected)
+        self.job.update((expected, deadline, n_final, n_success, done or complete))
+        if complete:
+            yield self._outcome(key, "complete", n_final, n_success)
+            # What is left is a mark, so that repeats are known as such until the limit.
+            self.attachments.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.job.exists():
+            _, _, n_final, n_success, done = self.job.get()
+            if not done:
+                yield self._outcome(key, "timeout", n_final, n_success)
+        self.attachments.clear()
+        self.job.clear()
+
+    def _outcome(self, key, outcome: str, n_final: int, n_success: int) -> pd.DataFrame:
+        chosen = min(((v[2], k[0]) for k, v in self.attachments.iterator() if v[0] == "success"), default=(0, None))[1]
+        return pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "n_final": [n_final], "n_success": [n_success],
+                             "chosen": [chosen]})
+
+
+def outcomes(statuses: DataFrame, limit: str = "24 hours", late: str = "0 seconds") -> DataFrame:
+    """One row per work item that completes or runs out of time, as a stream.
+
+    ``statuses``: ``job_id, attachment, status, n_expected, started, ts``; any row opens
+    its work item, one without an attachment does nothing else. ``n_expected`` may be
+    null: then the attachments seen are all. A status counts before ``started`` plus
+    ``limit``, the last one (by ``ts``, then status) of each attachment. A work item is
+    ``complete`` at the end of the batch in which its attachments are all final, once;
+    ``chosen`` is the success that became final first. It is a ``timeout`` when the
+    watermark passes its limit before that. ``late`` is what rows may arrive behind.
+    Ids may be of any type and come out as text.
     """
-    ok = F.col("status") == "success"
-    counts = finals.groupBy("job_id").agg(
-        F.count("*").alias("n_final"), F.count_if(ok).alias("n_success"),
-        F.min(F.when(ok, F.col("attachment"))).alias("chosen"), F.max("n_expected").alias("n_expected"),
-        F.max("ts").alias("ts"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fired = _read_before(batch.sparkSession, store, "job_id bigint, at_batch bigint", batch_id).select("job_id")
-        _write_batch(batch.where("n_final >= n_expected").join(fired, "job_id", "left_anti"), store, batch_id)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    marked = statuses.withWatermark("ts", late).select(
+        F.col("job_id").cast("string").alias("job_id"), F.col("attachment").cast("string").alias("attachment"), "status",
+        F.col("n_expected").cast("bigint").alias("n_expected"), micros("started").alias("started"), micros("ts").alias("at"), "ts")
+    return marked.groupBy("job_id").transformWithStateInPandas(
+        Completion(limit), OUTCOMES, outputMode="append", timeMode="eventtime")
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(writer, interval).start()
 
-
-def time_limit(started: DataFrame, completed: DataFrame, limit: str = "24 hours") -> DataFrame:
-    """Work items that do not complete within the limit, as a stream of ``job_id, outcome``.
-
-    ``started`` and ``completed`` hold one row per work item: ``job_id, ts``.
-    """
-    span = int(pd.Timedelta(limit).total_seconds() * 1000)
-    marks = started.select("job_id", "ts", F.lit(False).alias("done")).unionByName(
-        completed.select("job_id", "ts", F.lit(True).alias("done"))).withWatermark("ts", "0 seconds")
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            open_still = not state.get[0]
-            state.remove()
-            if open_still:
-                yield pd.DataFrame({"job_id": [int(key[0])], "outcome": ["timeout"]})
-            return
-        done, newest = (state.get if state.exists else (False, 0))
-        for batch in batches:
-            done = done or bool(batch["done"].any())
-            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
-        state.update((done, newest))
-        state.setTimeoutTimestamp(max(newest + span, state.getCurrentWatermarkMs() + 1))
-
-    return marks.groupBy("job_id").applyInPandasWithState(
-        step, "job_id bigint, outcome string", "done boolean, newest bigint", "append",
-        GroupStateTimeout.EventTimeTimeout)
+def start_completion(statuses: DataFrame, out: str, checkpoint: str, limit: str = "24 hours", late: str = "0 seconds",
+                     interval: str | None = None) -> StreamingQuery:
+    """Write the outcomes of work items below ``out``, each once."""
+    with _state_store(statuses.sparkSession):
+        writer = outcomes(statuses, limit, late).writeStream.format("parquet").outputMode("append").option("path", out).option(
+            "checkpointLocation", checkpoint)
+        return _trigger(writer, interval).start()
 
 
 def start_supersede(jobs: DataFrame, chunk: Column, order: Sequence[str], store: str, checkpoint: str,
@@ -105,22 +140,28 @@ def start_supersede(jobs: DataFrame, chunk: Column, order: Sequence[str], store:
     ``jobs``: ``doc_id, job_id`` and the order columns. A batch's first job of a
     document also cancels the document's open job of earlier batches.
     """
-    schema = "doc_id bigint, job_id bigint, cancelled_by bigint, last boolean, at_batch bigint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, opened = batch.sparkSession, f"{store}/open"
+        told = versioned.current(spark, opened)
+        if told is not None and batch_id <= told.batch:
+            return  # a repeat of a batch that is stored
         linked = with_next(batch, ["doc_id"], chunk, order, ["job_id"]).select(
             "doc_id", "job_id", F.col("next_job_id").alias("cancelled_by"), F.col("next_job_id").isNull().alias("last"))
-        earlier = _read_before(spark, store, schema, batch_id)
-        opened = earlier.where("last").join(batch.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by("job_id", "at_batch").alias("job_id"))
         first = batch.groupBy("doc_id").agg(
             F.min_by("job_id", F.struct(*[named(c) for c in order])).alias("cancelled_by"))
-        carried = opened.join(first, "doc_id").select("doc_id", "job_id", "cancelled_by", F.lit(False).alias("last"))
-        _write_batch(linked.unionByName(carried), store, batch_id)
+        only = versioned.buckets_of(first, ["doc_id"], spark, opened)
+        # Only the buckets of this batch's documents are read.
+        before = versioned.read_current(spark, opened, ["doc_id"], only, schema=batch.select("doc_id", "job_id").schema)
+        carried = before.join(first, "doc_id").select("doc_id", "job_id", "cancelled_by", F.lit(False).alias("last"))
+        folder = f"{store}/jobs/{BATCH}={batch_id:012d}"
+        linked.unionByName(carried).write.mode("overwrite").parquet(folder)
+        still = spark.read.parquet(folder).where("last").select("doc_id", "job_id")
+        versioned.put_rows(spark, opened, still, ["doc_id"], batch_id)
 
     writer = jobs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
 def cancellations(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(store).where("cancelled_by is not null").select("doc_id", "job_id", "cancelled_by")
+    return spark.read.parquet(f"{store}/jobs").where("cancelled_by is not null").select("doc_id", "job_id", "cancelled_by")

@@ -1,11 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from provender.operators.headers import lineage, mapping_table, mapping_usage, unfed_columns, unmapped_headers
 from provender.registry import CREATED_AT, LONG_NAME, Registry, approved_overrides
 from provender.session import constant_table, scratch_dir, written
-from provender.sources import feeds, incidents, sinks
+from provender.sources import feeds, incidents, sinks, versioned
 
 CORE = Registry.core()
 
@@ -38,15 +39,26 @@ def test_windows_with_differing_headers(spark, tmp_path):
 
 def test_upsert_into_a_stored_table(spark, tmp_path):
     source = incidents.read_incidents(spark, landed(tmp_path), CORE).withColumn("_seq", F.lit(1))
-    first = sinks.upsert_table(spark, source, str(tmp_path / "v0"), str(tmp_path / "v1"), CORE, "Id", ["_seq"])
+    first = sinks.upsert_table(spark, source, str(tmp_path / "table"), CORE, "Id", ["_seq"])
     assert first.count() == 4
     land(tmp_path / "next", "w.csv", "Id,Incident ID,Created At,Description\n1,22,2026-01-02,\n5,30,2026-02-01,new\n")
     again = incidents.read_incidents(spark, str(tmp_path / "next"), CORE).withColumn("_seq", F.lit(1))
-    out = {r["Id"]: r for r in sinks.upsert_table(spark, again, str(tmp_path / "v1"), str(tmp_path / "v2"), CORE, "Id", ["_seq"]).collect()}
+    out = {r["Id"]: r for r in sinks.upsert_table(spark, again, str(tmp_path / "table"), CORE, "Id", ["_seq"]).collect()}
     assert len(out) == 5 and out["1"]["Description"] == "two\nlines" and out["1"][LONG_NAME] == "Town, DC"
     assert out["5"]["Reported By"] == ""
 
 
+def test_upsert_that_dies_before_the_switch(spark, tmp_path, monkeypatch):
+    source = incidents.read_incidents(spark, landed(tmp_path), CORE).withColumn("_seq", F.lit(1))
+    table = str(tmp_path / "table")
+    sinks.upsert_table(spark, source.where("Id = '1'"), table, CORE, "Id", ["_seq"])
+    with monkeypatch.context() as broken, pytest.raises(KeyboardInterrupt):
+        broken.setattr(versioned, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        sinks.upsert_table(spark, source, table, CORE, "Id", ["_seq"])
+    assert [r["Id"] for r in versioned.read_table(spark, table).collect()] == ["1"]
+    assert sinks.upsert_table(spark, source, table, CORE, "Id", ["_seq"]).count() == 4
+
+
 def test_corpus_reports(spark, tmp_path):
     registry = CORE.extended([("Incident Details", "VARCHAR(max)", True)])
     counts, headers = incidents.corpus_counts(spark, landed(tmp_path))
@@ -158,3 +170,25 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert written(spark.range(5), "five").count() == 5
     rows = [("it's", 1, True, None), ("back\\slash", 0, False, "x")]
     assert [tuple(r) for r in constant_table(spark, rows, ["a", "b", "c", "d"]).collect()] == rows
+
+
+def test_header_sets_are_found_by_spark(spark, tmp_path):
+    odd = tmp_path / "odd names"
+    land(odd, "a b%20c.csv", "﻿Id,Name\n1,x\n")
+    land(odd, "b.csv", 'Id,"A name\nof two lines, or ""three"""\n1,x\n')
+    land(odd, "c.csv", 'Id,"A name\r\nof two lines, or ""three"""\r\n2,y\r\n')
+    land(odd, "d.csv", "Id,Name\r\n3,z\r\n")
+    land(odd, "e.csv", "")
+    found = incidents.header_sets(spark, str(odd))
+    assert [h for h, _ in found] == [["Id", 'A name\nof two lines, or "three"'], ["Id", "Name"]]
+    assert [[p.split("/")[-1] for p in files] for _, files in found] == [["b.csv", "c.csv"], ["a b%20c.csv", "d.csv"]]
+    rows = [r["Id"] for h, files in found for r in incidents.read_window_files(spark, files, h).collect()]
+    assert sorted(rows) == ["1", "1", "2", "3"]
+    assert incidents.header_sets(spark, str(odd / "e.csv")) == []
+
+
+def test_exact_renames_reach_the_reader(spark, tmp_path):
+    land(tmp_path / "in", "w.csv", "Id,Incident ID,Created At,What did you see there?\n1,22,2026-01-02,a crack\n")
+    plain = incidents.read_incidents(spark, str(tmp_path / "in"), CORE).first()
+    named = incidents.read_incidents(spark, str(tmp_path / "in"), CORE, renames=[("What did you see there?", "Description")]).first()
+    assert (plain["Description"], named["Description"]) == (None, "a crack")

@@ -1,3 +1,4 @@
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 from provender.operators.ordered import time_chunk
 from provender.streaming import capture as SC
 from provender.streaming import completion as ST
+from provender.streaming.triage import start_triage
 
 SCHEMA = "item bigint, n bigint, v string, ts timestamp"
 
@@ -32,7 +34,7 @@ def test_capture_resumes_and_writes_changes_only(spark, tmp_path):
     land(1)
     run()
     run()  # nothing new: nothing is written
-    rows = spark.read.parquet(store)
+    rows = SC.changes(spark, store)
     assert sorted((r.item, r.v, r.change) for r in rows.where("at_batch > 0").collect()) == [(2, "y", "changed"), (3, "q", "added")]
     assert rows.where("at_batch > 0 and handled").count() == 0
 
@@ -45,7 +47,7 @@ def test_capture_reads_side_tables_per_batch(spark, tmp_path):
     land(1)
     SC.start_capture(stream(spark, src), "item", ["n"], ["v"], store, mark,
                      then=lambda df, _: df.withColumn("auto", F.lit(next(flags)))).awaitTermination()
-    assert sorted((r.item, r.auto) for r in spark.read.parquet(store).collect()) in ([(1, True), (2, False)], [(1, False), (2, True)])
+    assert sorted((r.item, r.auto) for r in SC.current_state(spark, store, "item").collect()) in ([(1, True), (2, False)], [(1, False), (2, True)])
 
 
 def test_supersede_across_batches_equals_one_pass(spark, tmp_path):
@@ -66,31 +68,85 @@ def test_supersede_across_batches_equals_one_pass(spark, tmp_path):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_completion_fires_once(spark, tmp_path):
-    src, finals, done, c1, c2 = (str(tmp_path / n) for n in ("src", "finals", "done", "c1", "c2"))
-    land = batches(spark, src, [
-        [(1, 10, "success", "2026-01-01 00:00:00"), (1, 10, "success", "2026-01-01 00:00:01"), (2, 20, "failure", "2026-01-01 00:00:02")],
-        [(1, 11, "running", "2026-01-01 00:01:00"), (1, 12, "failure", "2026-01-01 00:01:00"), (2, 20, "failure", "2026-01-01 00:01:00")],
-        [(1, 13, "success", "2026-01-01 00:02:00"), (2, 21, "failure", "2026-01-01 00:02:00")]])
-    seen = []
-    for i in range(3):
-        land(i)
-        s = stream(spark, src).select(F.col("item").alias("job_id"), F.col("n").alias("attachment"), F.col("v").alias("status"),
-                                      F.lit(2).alias("n_expected"), "ts")
-        ST.start_final_statuses(s, finals, c1).awaitTermination()
-        f = spark.readStream.schema(spark.read.parquet(finals).schema).parquet(finals)
-        ST.start_completion(f, done, c2).awaitTermination()
-        seen.append(sorted((r.job_id, r.n_final, r.n_success, r.chosen) for r in spark.read.parquet(done).collect()))
-    assert seen == [[], [(1, 2, 1, 10)], [(1, 2, 1, 10), (2, 2, 0, None)]]
+def statuses(spark, folder, parts, expected=2, first=0):
+    """Land parts of (job, attachment, status, time); jobs start with the day."""
+    for i, part in enumerate(parts, first):
+        df = spark.createDataFrame(part, "job_id string, attachment string, status string, ts string")
+        df.select("*", F.lit(expected).cast("int").alias("n_expected")).withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
+            "started", F.date_trunc("day", "ts")).coalesce(1).write.parquet(f"{folder}/{i}")
+    schema = "job_id string, attachment string, status string, ts timestamp, n_expected int, started timestamp"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def outcomes(spark, out):
+    return sorted(tuple(r) for r in spark.read.schema(ST.OUTCOMES).parquet(out).collect())
 
 
-def test_time_limit(spark, tmp_path):
+def test_completion(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
-    land = batches(spark, src, [[(1, 0, "start", "2026-01-01"), (2, 0, "start", "2026-01-01")], [(2, 0, "done", "2026-01-01 05:00:00")],
-                                [(3, 0, "start", "2026-01-03")], [(4, 0, "start", "2026-01-03 01:00:00")]])
-    for i in range(4):
+    stream = statuses(spark, src, [
+        [("one", "a", "success", "2026-01-01 00:00:00"), ("one", "a", "success", "2026-01-01 00:00:01"),
+         ("two", "x", "failure", "2026-01-01 00:00:02"), ("two", None, None, "2026-01-01 00:00:03")],
+        [("one", "b", "running", "2026-01-01 00:01:00"), ("two", "x", "success", "2026-01-01 00:01:01"),
+         ("retried", "m", "success", "2026-01-01 00:01:02")],
+        # The last status counts: the retry of m failed; what is older than m's status changes nothing.
+        [("one", "c", "failure", "2026-01-01 00:02:00"), ("retried", "m", "failure", "2026-01-01 00:02:01"),
+         ("retried", "n", "success", "2026-01-01 00:02:02")],
+        # Repeats after completion.
+        [("one", "c", "failure", "2026-01-01 00:02:30"), ("two", "y", "failure", "2026-01-01 00:03:00")]])
+    ST.start_completion(stream, out, mark, late="1 hour").awaitTermination()
+    assert outcomes(spark, out) == [("one", "complete", 2, 1, "a"), ("retried", "complete", 2, 1, "n"), ("two", "complete", 2, 1, "x")]
+
+
+def test_time_limit_and_restart(spark, tmp_path):
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    first = [[("late", "a", "success", "2026-01-01 01:00:00"), ("done", "a", "success", "2026-01-01 01:00:00")],
+             [("done", "b", "success", "2026-01-01 02:00:00"), ("empty", None, None, "2026-01-01 02:00:00")]]
+    ST.start_completion(statuses(spark, src, first), out, mark).awaitTermination()
+    assert outcomes(spark, out) == [("done", "complete", 2, 2, "a")]
+    # A restart goes on where the last run ended; the next days move the clock past the limit.
+    stream = statuses(spark, src, [[("new", "a", "success", "2026-01-03 00:00:00")], [("new", "b", "failure", "2026-01-03 01:00:00")]], first=2)
+    ST.start_completion(stream, out, mark).awaitTermination()
+    assert outcomes(spark, out) == [("done", "complete", 2, 2, "a"), ("empty", "timeout", 0, 0, None),
+                                    ("late", "timeout", 1, 1, "a"), ("new", "complete", 2, 1, "a")]
+
+
+def test_statuses_after_the_limit_do_not_count(spark, tmp_path):
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    stream = statuses(spark, src, [[("j", "a", "success", "2026-01-01 00:00:00")]], expected=None)
+    ST.start_completion(stream, out, mark, limit="1 hour").awaitTermination()
+    assert outcomes(spark, out) == [("j", "complete", 1, 1, "a")]
+    other = tmp_path / "b"
+    df = spark.createDataFrame([("k", "a", "success", "2026-01-01 05:00:00", 1, "2026-01-01")], "job_id string, attachment string, status string, ts string, n_expected int, started string")
+    df.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("started", F.col("started").cast("timestamp")).write.parquet(f"{other}/0")
+    stream = spark.readStream.schema(spark.read.parquet(f"{other}/0").schema).parquet(f"{other}/*")
+    ST.start_completion(stream, str(tmp_path / "out2"), str(tmp_path / "mark2"), limit="1 hour").awaitTermination()
+    assert outcomes(spark, str(tmp_path / "out2")) == [("k", "timeout", 0, 0, None)]
+
+
+def test_text_ids(spark, tmp_path):
+    src, store, mark = (str(tmp_path / n) for n in ("src", "store", "mark"))
+    land = batches(spark, src, [[(1, 1, "a", "2026-01-01")], [(1, 2, "b", "2026-01-02"), (2, 1, "c", "2026-01-02")], [(1, 3, "b", "2026-01-03")]])
+    for i in range(3):
         land(i)
-        s = stream(spark, src).withColumnRenamed("item", "job_id")
-        marks = ST.time_limit(s.where("v = 'start'"), s.where("v = 'done'"))
-        marks.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
-    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, "timeout")]
+        s = stream(spark, src).withColumn("item", F.concat(F.lit("id-"), F.col("item")))
+        SC.start_capture(s, "item", ["n"], ["v"], store, mark).awaitTermination()
+        jobs = stream(spark, src).select(F.concat(F.lit("d"), F.col("item")).alias("doc_id"), F.concat(F.lit("j"), F.col("n"), F.col("item")).alias("job_id"), "ts")
+        ST.start_supersede(jobs, time_chunk(F.col("ts"), 600), ["ts", "job_id"], f"{store}-jobs", f"{mark}-jobs").awaitTermination()
+    assert sorted((r.item, r.v) for r in SC.current_state(spark, store, "item").collect()) == [("id-1", "b"), ("id-2", "c")]
+    assert sorted((r.item, r.at_batch) for r in SC.changes(spark, store).collect()) == [("id-1", 0), ("id-1", 1), ("id-2", 1)]
+    assert sorted(tuple(r) for r in ST.cancellations(spark, f"{store}-jobs").collect()) == [("d1", "j11", "j21"), ("d1", "j21", "j31")]
+
+
+def test_triage_stream_reads_partners_per_batch(spark, tmp_path):
+    mirror = "struct<version:int,deleted:boolean,type_name:string,status:string,draft:boolean,us:boolean>"
+    doc = (1, False, "GFSI Audit", "Awaiting Approval", False, False)
+    schema = f"doc_id string, business_id string, mirror {mirror}"
+    for i, part in enumerate([[("d1", "b1", doc), ("d2", "b1", None)], [("d3", "b1", doc)]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/src/{i}")
+    known = iter([[], [("b1", "p1")]])
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/src/*")
+    start_triage(events, lambda s: s.createDataFrame(next(known), "business_id string, masterid string"),
+                 lambda s: s.createDataFrame([], "doc_id string, open_jobs long"), f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
+    routes = [r.route for r in spark.read.parquet(f"{tmp_path}/out").orderBy("batch").collect()]
+    assert routes == ["diagnostic", "queue"]
