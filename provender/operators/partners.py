@@ -71,11 +71,16 @@ def attach_ids(resolved: DataFrame, owners: DataFrame, key: str) -> DataFrame:
     ).withColumn("reason", completeness(F.col("is_new"), F.col("n_office") > 0, F.col("conflicts"))).drop("n_office")
 
 
-def completeness(is_new: Column, has_internal: Column, conflicts: Column) -> Column:
-    return (
+def completeness(is_new: Column, has_internal: Column, conflicts: Column, failed_job: Column | None = None) -> Column:
+    """Why a business is incomplete; ``failed_job`` is the job whose update of its ids failed, null for none."""
+    out = (
         F.when(conflicts != "", F.concat(F.lit("Conflicting internalIds: "), conflicts))
         .when(is_new & ~has_internal, "business is missing internalIds")
     )
+    if failed_job is None:
+        return out
+    return F.when(failed_job.isNotNull(), F.concat(
+        F.lit("Other Internal Failure. See job "), failed_job.cast("string"), F.lit(" for details."))).otherwise(out)
 
 
 def may_update_internal(current: Column, new: Column) -> Column:

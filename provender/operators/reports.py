@@ -25,6 +25,18 @@ ERROR_LABELS = (
     ("unknown", "Other Errors"),
     ("target-error-already-approved", "Document already approved; Extraction Failure"),
 )
+# The same in the final report; the name of the site that documents come from is put in.
+FINAL_LABELS = (
+    ("target-other", "Other target errors"),
+    ("associated-assessment-rejected", "Assessment failure"),
+    ("document-validation", "Document data did not match {site} data"),
+    ("target-unrecognized", "Format unrecognized during extration"),
+    ("multi-files-attached", "Multiple files were attached within {site}"),
+    ("target-validation", "Required data elements missing during Target extraction"),
+    ("target-multiple-docs-combined",
+     "The PDF contained multiple document extractable results, but this is current not supported."),
+    ("bad-fl-attachments", "Attachments corrupt or can no longer be retrieved from Amazon S3"),
+)
 # Funnel nodes and their descriptions.
 FUNNEL_NODES = (
     ("a1", "Document approved"), ("a2", "Document rejected"), ("a3", "Other doc statuses"), ("a4", "Document Awaiting Approval"),
@@ -60,8 +72,10 @@ ASSESSMENT_STATES = (("Approved", "B1"), ("Rejected", "B2"), ("Submitted", "B3")
 # ---------------------------------------------------------------------------
 
 
-def error_labels(spark: SparkSession) -> DataFrame:
-    return constant_table(spark, ERROR_LABELS, ["error_code", "label"])
+def error_labels(spark: SparkSession, final_site: str | None = None) -> DataFrame:
+    """Label of each job error; with the name of the site, those of the final report, which has fewer."""
+    labels = ERROR_LABELS if final_site is None else [(c, t.format(site=final_site)) for c, t in FINAL_LABELS]
+    return constant_table(spark, labels, ["error_code", "label"])
 
 
 def error_counts(jobs: DataFrame, code: str = "error_code") -> DataFrame:
@@ -221,11 +235,18 @@ def partner_report_filter(updates: Column, location_group: Column, product_group
             & ~location_group.eqNullSafe(F.lit("Internal")) & ~product_group.eqNullSafe(F.lit("Internal")))
 
 
-def vendors_to_complete(members: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Members outside the internal groups that lack an internal id; commas removed."""
+def vendors_to_complete(members: DataFrame, fields: Sequence[str], site: str = "", community: str = "",
+                        order: str | None = None) -> DataFrame:
+    """Members outside the internal groups that lack an internal id; commas removed.
+
+    ``link`` leads to the member's page: ``site``, the member, ``community``. Rows come
+    sorted by ``order``, the member breaking ties, if given.
+    """
     kept = members.where(~F.col("location_group").eqNullSafe(F.lit("Internal"))
                          & ~F.col("product_group").eqNullSafe(F.lit("Internal")) & (F.col("internal_id") == ""))
-    return kept.select("member_id", *[drop_commas(named(f)).alias(f) for f in fields])
+    link = F.concat(F.lit(f"{site}/"), F.col("member_id").cast("string"), F.lit(f"/{community}"))
+    out = kept.select("member_id", *[drop_commas(named(f)).alias(f) for f in fields], link.alias("link"))
+    return out.orderBy(order, "member_id") if order else out
 
 
 def comments_text(comments: Column) -> Column:

@@ -11,6 +11,7 @@ from provender.operators.reports import day_counters
 from provender.plans.catalog import Catalog
 from provender.plans.tables import table
 from provender.session import scratch_dir, use_utc
+from provender.sources import feeds, sinks
 from provender.streaming import capture as SC
 from provender.streaming import completion as ST
 
@@ -99,6 +100,39 @@ def q_day_counters(spark: SparkSession, sf: str) -> DataFrame:
     return day_counters(table(spark, sf, "events"), "ts", "event_type")
 
 
+def _landed_members(spark: SparkSession, sf: str, folder: str, later: bool) -> DataFrame:
+    """Customers as members on landed pages of a hundred; later some differ deep inside, in a field no rule names."""
+    c, key = table(spark, sf, "customer"), F.col("c_custkey")
+    deep = F.when(F.lit(later) & (key % 7 == 0), "new").otherwise("old")
+    item = F.to_json(F.struct(
+        F.when(key % 50 != 0, F.concat(F.lit("m"), key)).alias("_id"),
+        F.struct(F.when(key % 60 != 1, F.concat(F.lit("b"), F.col("c_nationkey"))).alias("_id"), F.col("c_name").alias("name")).alias("business"),
+        F.array(F.struct(F.struct(deep.alias("inner")).alias("deep"), F.col("c_acctbal").alias("balance"))).alias("unlisted")))
+    pages = c.groupBy(F.floor(key / 100)).agg(F.array_join(F.collect_list(item), ",").alias("items"))
+    pages.select(F.concat(F.lit('{"pageItems":['), "items", F.lit('],"hasNextPage":false}'))).write.text(folder)
+    return feeds.read_items(spark, folder, "memberships", page_per_line=True)
+
+
+@query("""
+SELECT 'changed' AS outcome, 'm' || c_custkey AS item_id, 'b' || c_nationkey AS business_id, 1 AS n FROM customer
+WHERE c_custkey % 7 = 0 AND c_custkey % 50 <> 0 AND c_custkey % 60 <> 1
+UNION ALL
+SELECT CASE WHEN c_custkey % 50 = 0 THEN 'no id' ELSE 'nothing to file it under' END, NULL, NULL, count(*) FROM customer
+WHERE c_custkey % 50 = 0 OR c_custkey % 60 = 1 GROUP BY 1
+""")
+def q_mirror_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of landed pages against the stored mirror: what changed, and what cannot be filed."""
+    base = scratch_dir(spark, "pages")
+    before, _ = feeds.mirror_rows(_landed_members(spark, sf, f"{base}/first", False), "memberships")
+    sinks.append_mirror(before, f"{base}/mirror")
+    now, rejects = feeds.mirror_rows(_landed_members(spark, sf, f"{base}/second", True), "memberships")
+    changed = M.detect_changes(spark.read.parquet(f"{base}/mirror"), now, "item_id", ["version"])
+    counted = rejects.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").cast("int").alias("n"))
+    nothing = F.lit(None).cast("string")
+    return changed.select(F.col("change").alias("outcome"), "item_id", "business_id", F.lit(1).alias("n")).unionByName(
+        counted.select("outcome", nothing.alias("item_id"), nothing.alias("business_id"), "n"))
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     use_utc(spark)
     schema = spark.read.parquet(f"{sf}/events.parquet").schema

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provender.functions.dates import earliest
+from provender.operators import extractions as X
 from provender.operators import policies as P
 from provender.operators import validate as V
 from provender.operators.merge import latest_per_key
@@ -223,6 +224,53 @@ def q_attachment_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return P.attachment_outcomes(_attachments(spark, sf))
 
 
+def _runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as documents: their lines as attachments, and the JSON text of an extraction run."""
+    li, name = table(spark, sf, "lineitem"), F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string"))
+    kind, part = F.col("l_linenumber") % 3, F.col("l_partkey")
+    file_name, stored = F.when(kind == 0, F.concat(F.lit("f"), name)), F.when(kind == 1, F.concat(F.lit("s"), name))
+    answer = (
+        F.when(part % 7 == 0, '{"results":{"serialized":{"message":"m","cause":{"cause":{"information":"Holder is missing"}}}}}')
+        .when(part % 7 == 1, '{"results":{"serialized":{"message":"plain"}}}')
+        .when(part % 7 == 2, '{"msg":"no file","serialized":{"message":"x"}}')
+        .when(part % 7 == 3, '{"serialized":{"message":"only a message"}}')
+        .otherwise(F.format_string('{"results":{"r1":{"_id":"c%s"},"r2":{"name":"no id"}}}', name)))
+    entry = F.concat(F.lit('"'), F.coalesce(file_name, stored, F.concat(F.lit("x"), name)), F.lit('":'), answer)
+    docs = li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", F.struct(file_name.alias("fileName"), stored.alias("S3Name")).alias("source"), entry.alias("entry")))).alias("lines"))
+    run = (F.when(F.col("doc_id") % 11 == 0, None).when(F.col("doc_id") % 11 == 1, '{"msg":"run failed","serialized":{"message":"z"}}')
+           .otherwise(F.concat(F.lit("{"), F.array_join("lines.entry", ","), F.lit("}"))))
+    return docs.select("doc_id", F.col("lines.source").alias("attachments"), run.alias("run"))
+
+
+RUN_SQL = """
+WITH a AS (
+  SELECT l_orderkey AS doc_id, l_linenumber, l_partkey || '-' || l_linenumber AS name, l_partkey % 7 AS part, l_orderkey % 11 AS run,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS place, l_linenumber % 3 AS kind FROM lineitem)
+"""
+
+
+@query(RUN_SQL + """
+SELECT doc_id, CASE WHEN kind = 0 THEN 'f' || name WHEN kind = 1 THEN 's' || name WHEN run < 2 THEN 'attachment-' || place ELSE 'x' || name END AS attachment,
+       CASE WHEN kind = 0 THEN 'f' || name END AS file_name, CASE WHEN kind = 1 THEN 's' || name END AS stored_name,
+       CASE WHEN run < 2 THEN 'not-run' WHEN part < 4 THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN run = 0 THEN NULL WHEN run = 1 THEN 'run failed' WHEN part = 0 THEN 'Holder is missing' WHEN part = 1 THEN 'plain'
+            WHEN part = 2 THEN 'no file' WHEN part = 3 THEN 'only a message' END AS error,
+       CASE WHEN run > 1 AND part > 3 THEN 'c' || name ELSE '' END AS extracted
+FROM a""")
+def q_extraction_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Status, error and found certificates of each attachment, from the JSON text of runs."""
+    return X.attachment_statuses(_runs(spark, sf)).withColumn("extracted", F.array_join("extracted", ","))
+
+
+@query(RUN_SQL + """
+SELECT doc_id, CASE kind WHEN 0 THEN 'f' || name WHEN 1 THEN 's' || name ELSE 'x' || name END AS attachment, 'c' || name AS certificate_id
+FROM a WHERE run > 1 AND part > 3""")
+def q_valid_extractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Certificates with an id that runs found."""
+    return X.valid_extractions(_runs(spark, sf)).drop("certificate")
+
+
 @query(f"WITH {ATTACH_SQL} SELECT * FROM par")
 def q_parsing_errors(spark: SparkSession, sf: str) -> DataFrame:
     return P.parsing_errors(P.attachment_outcomes(_attachments(spark, sf)))

@@ -79,6 +79,7 @@ me AS (SELECT c_custkey, owner AS masterid FROM customer LEFT JOIN own ON xid =
 f AS (SELECT el.c_custkey, el.xid, me.masterid, own.owner IS NOT NULL AND own.owner IS DISTINCT FROM me.masterid AS taken FROM el JOIN me ON el.c_custkey = me.c_custkey LEFT JOIN own ON el.xid = own.xid)
 SELECT c_custkey, any_value(masterid) AS masterid, any_value(masterid) IS NULL AS is_new, COALESCE(string_agg(xid, ',' ORDER BY xid) FILTER (WHERE NOT taken), '') AS attached,
   COALESCE(string_agg(xid, ',' ORDER BY xid) FILTER (WHERE taken), '') AS conflicts,
+  CASE WHEN c_custkey % 10 = 0 THEN 'Other Internal Failure. See job j' || c_custkey || ' for details.' END AS update_reason,
   CASE WHEN count(*) FILTER (WHERE taken) > 0 THEN 'Conflicting internalIds: ' || string_agg(xid, ',' ORDER BY xid) FILTER (WHERE taken)
        WHEN any_value(masterid) IS NULL AND count(*) = 1 THEN 'business is missing internalIds' END AS reason
 FROM f GROUP BY 1
@@ -86,7 +87,10 @@ FROM f GROUP BY 1
 def q_partner_conflict(spark: SparkSession, sf: str) -> DataFrame:
     """Ids each business may take, ids another partner holds, and what makes it incomplete."""
     owners = P.id_owners(_partners(spark, sf))
-    return P.attach_ids(P.resolve(_elements(spark, sf), owners, "c_custkey"), owners, "c_custkey")
+    out = P.attach_ids(P.resolve(_elements(spark, sf), owners, "c_custkey"), owners, "c_custkey")
+    failed = F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("j"), text("c_custkey")))
+    no = F.lit(False)
+    return out.withColumn("update_reason", P.completeness(no, no, F.lit(""), failed))
 
 
 @query("""
@@ -223,6 +227,28 @@ def q_match_report(spark: SparkSession, sf: str) -> DataFrame:
     return X.match_report(b, v, X.match_vendors(b, v, threshold=0.3)).drop("mark")
 
 
+@query("""
+SELECT s_suppkey AS business_id, s_name AS business_name, COALESCE(CASE WHEN s_suppkey % 3 <> 0 THEN 'Street ' || s_suppkey END, '') || '; ' || n_name || '; ' || s_nationkey AS business_address,
+       p_name AS office_name, p_brand || '; C' || p_size || '; S' || (p_size % 7) AS office_address, 'ein' || p_partkey AS office_ein
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN part ON p_size = s_nationkey
+""")
+def q_back_office_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Businesses with their matches in the back office, several to a business."""
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    businesses = s.select(
+        F.col("s_suppkey").alias("business_id"), F.col("s_name").alias("name"),
+        F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit("Street "), text("s_suppkey"))).alias("address"),
+        F.col("n_name").alias("city"), text("s_nationkey").alias("state"))
+    p = table(spark, sf, "part")
+    vendors = p.select(
+        F.col("p_partkey").alias("vendor_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("address"),
+        F.concat(F.lit("C"), text("p_size")).alias("city"), F.concat(F.lit("S"), (F.col("p_size") % 7).cast("string")).alias("state"),
+        F.concat(F.lit("ein"), text("p_partkey")).alias("ein"))
+    pairs = s.select(F.col("s_suppkey").alias("business_id"), F.col("s_nationkey").alias("size")).join(
+        p.select(F.col("p_partkey").alias("vendor_id"), F.col("p_size").alias("size")), "size")
+    return X.back_office_list(businesses, vendors, pairs)
+
+
 def _reviewed(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as reviewed candidates: order = business, discount = score, some marked."""
     li = table(spark, sf, "lineitem")

@@ -11,6 +11,8 @@ from provender.operators import reports as R
 from provender.plans.catalog import Catalog
 from provender.plans.documents import pick
 from provender.plans.tables import table
+from provender.session import scratch_dir
+from provender.sources import sinks
 
 catalog = Catalog()
 QUERIES, SQL, query = catalog.queries, catalog.sql, catalog.query
@@ -145,7 +147,8 @@ _labels = ", ".join(f"('{c}', '{t}')" for c, t in R.ERROR_LABELS)
 
 @query(f"""
 WITH l(error_code, label) AS (VALUES {_labels})
-SELECT CAST(event_id AS VARCHAR) AS document_id, 'user ' || user_id AS supplier, COALESCE(label, 'Success') AS result
+SELECT CAST(event_id AS VARCHAR) AS document_id, 'user ' || user_id AS supplier, COALESCE(label, 'Success') AS result,
+       CASE event_type WHEN 'error' THEN 'Other target errors' WHEN 'signup' THEN 'Document data did not match the site''s data' END AS final_result
 FROM events LEFT JOIN l ON error_code = CASE event_type WHEN 'error' THEN 'target-other' WHEN 'signup' THEN 'document-validation' WHEN 'click' THEN 'new-code' END
 """)
 def q_job_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,8 +160,9 @@ def q_job_report(spark: SparkSession, sf: str) -> DataFrame:
                                       F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("b-name")).alias("config"),
                              F.struct(code.alias("error-code")).alias("result")))
     rows = R.job_report(e.select(job.alias("job")), {"document_id": "/config/key", "supplier": "/config/b-name", "error_code": "/result/error-code"})
+    rows = D.with_lookup(rows, R.error_labels(spark, "the site's"), "error_code", "error_code", "label").withColumnRenamed("label", "final_result")
     return D.with_lookup(rows, R.error_labels(spark), "error_code", "error_code", "label", "Success").select(
-        "document_id", "supplier", F.col("label").alias("result"))
+        "document_id", "supplier", F.col("label").alias("result"), "final_result")
 
 
 @query("""
@@ -182,30 +186,32 @@ def q_partner_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey AS member_id, replace(c_name, '#', '') AS name FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_custkey % 2 = 0
+SELECT c_custkey AS member_id, replace(c_name, '#', '') AS name, 'https://site.example/suppliers/' || c_custkey || '/k1' AS link FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_custkey % 2 = 0
 """)
 def q_vendor_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Members that lack an internal id, commas removed."""
+    """Members that lack an internal id, commas removed, sorted by name, with a link to each."""
     c = table(spark, sf, "customer")
     m = c.select(F.col("c_custkey").alias("member_id"), F.replace("c_name", F.lit("#"), F.lit(",")).alias("name"),
                  F.when(F.col("c_mktsegment") == "MACHINERY", "Internal").alias("location_group"), F.lit("Suppliers").alias("product_group"),
                  F.when(F.col("c_custkey") % 2 == 0, "").otherwise("id").alias("internal_id"))
-    return R.vendors_to_complete(m, ["name"])
+    return R.vendors_to_complete(m, ["name"], "https://site.example/suppliers", "k1", order="name")
 
 
 @query("""
 WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, max_by(event_type, (ts, event_id)) AS event_type, count(*) AS n FROM events
-  WHERE ts > TIMESTAMP '2024-01-24' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-24' AND DATE '2024-01-30' GROUP BY 1, 2)
+  GROUP BY 1, 2 HAVING min(ts) > TIMESTAMP '2024-01-23' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-11' AND DATE '2024-01-30')
 SELECT user_id, max(day) AS day, max_by(event_type, day) AS event_type, max_by(n, day) AS n, min_by(event_type, day) AS oldest_type FROM d GROUP BY 1
 """)
 def q_rolling_report(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per job over the last seven days; newest copy, and the oldest for comparison."""
-    e = table(spark, sf, "events").where(F.col("ts") > F.lit("2024-01-24").cast("timestamp_ntz"))
-    daily = e.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"), F.count("*").alias("n"))
-    last = F.lit(DAY).cast("date")
-    newest = R.rolling_union(daily, "user_id", "day", last, 7)
-    oldest = R.rolling_union(daily, "user_id", "day", last, 7, oldest_wins=True)
+    """One row per job created in the last seven days, from day partitions; newest copy, and the oldest for comparison."""
+    folder = scratch_dir(spark, "days")
+    daily = table(spark, sf, "events").groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
+        F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"), F.count("*").alias("n"), F.min("ts").alias("created"))
+    sinks.day_partition(daily, "day", folder)
+    stored = sinks.read_days(spark, folder, "2024-01-11", DAY)
+    last, now = F.lit(DAY).cast("date"), F.lit(DAY).cast("timestamp_ntz")
+    newest = R.rolling_union(stored, "user_id", "day", last, 20, created="created", as_of=now).drop("created")
+    oldest = R.rolling_union(stored, "user_id", "day", last, 20, oldest_wins=True, created="created", as_of=now)
     return newest.join(oldest.select("user_id", F.col("event_type").alias("oldest_type")), "user_id")
 
 

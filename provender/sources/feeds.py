@@ -52,11 +52,15 @@ def page_schema(feed: str, item: str | None = None) -> T.StructType:
     return T._parse_datatype_string(f"{items} array<{item or shape}>, {ENVELOPE}")
 
 
-def read_items(spark: SparkSession, path: str, feed: str, stream: bool = False) -> DataFrame:
-    """Items of landed pages as they are: one row each, the whole item as JSON text in ``item``."""
+def read_items(spark: SparkSession, path: str, feed: str, stream: bool = False, page_per_line: bool = False) -> DataFrame:
+    """Items of landed pages as they are: one row each, the whole item as JSON text in ``item``.
+
+    A file is one page, or with ``page_per_line`` many; such files can be split.
+    """
     reader = spark.readStream if stream else spark.read
     schema = T._parse_datatype_string(f"{FEEDS[feed][1]} array<string>, {ENVELOPE}")
-    return reader.schema(schema).option("multiLine", True).json(path).select(F.explode(FEEDS[feed][1]).alias("item"))
+    pages = reader.schema(schema).option("multiLine", not page_per_line).json(path)
+    return pages.select(F.explode(FEEDS[feed][1]).alias("item"))
 
 
 def parse_items(items: DataFrame, feed: str, item: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +62,13 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_csv(df: DataFrame, path: str, strip_commas: bool = False, quote_all: bool = False) -> None:
-    """Report CSV; ``strip_commas`` removes commas from text values."""
+def write_csv(df: DataFrame, path: str, strip_commas: bool = False, quote_all: bool = False, order: Sequence[str] = ()) -> None:
+    """Report CSV; ``strip_commas`` removes commas from text values.
+
+    With ``order`` the rows are sorted as a whole: by range into files whose names, in
+    alphabetical order, are the order of their rows.
+    """
+    df = df.orderBy(*[named(c) for c in order]) if order else df
     if strip_commas:
         text = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
         df = df.select(*[drop_commas(named(c)).alias(c) if c in text else named(c) for c in df.columns])
@@ -70,8 +76,13 @@ def write_csv(df: DataFrame, path: str, strip_commas: bool = False, quote_all: b
 
 
 def day_partition(df: DataFrame, ts: str, path: str) -> None:
-    """Report rows by day, so a rolling report reads only the days it needs."""
-    df.withColumn("day", named(ts).cast("date")).write.mode("append").partitionBy("day").parquet(path)
+    """Report rows by day, so a rolling report reads only the days it needs.
+
+    The days that ``df`` has are replaced, others stay: a report that runs again for a day
+    writes it anew.
+    """
+    df.withColumn("day", named(ts).cast("date")).repartition("day").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def read_days(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:

@@ -76,7 +76,7 @@ def test_similar_names_equal_brute_force(spark):
     right = sorted({" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(60)})
     left = sorted({noisy(rng, rng.choice(right)) for _ in range(80)})
     df = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
-    for threshold in (0.1, 0.2, 0.33):
+    for threshold in (0.1, 0.2, 0.33, 0.45):
         got = [(r.left_name, r.right_name) for r in X.similar_names(df(left), df(right), threshold).collect()]
         want = {(a, b) for a in left for b in right if distance(a, b) <= threshold}
         assert len(got) == len(set(got)) and set(got) == want

@@ -192,3 +192,33 @@ def test_exact_renames_reach_the_reader(spark, tmp_path):
     plain = incidents.read_incidents(spark, str(tmp_path / "in"), CORE).first()
     named = incidents.read_incidents(spark, str(tmp_path / "in"), CORE, renames=[("What did you see there?", "Description")]).first()
     assert (plain["Description"], named["Description"]) == (None, "a crack")
+
+
+def test_a_day_that_runs_again_is_replaced(spark, tmp_path):
+    folder = str(tmp_path / "days")
+    day = lambda rows: sinks.day_partition(spark.createDataFrame(rows, "k int, ts string"), "ts", folder)
+    day([(1, "2026-01-01"), (2, "2026-01-02")])
+    day([(3, "2026-01-02")])
+    read = sinks.read_days(spark, folder, "2026-01-02", "2026-01-02")
+    assert [r.k for r in read.collect()] == [3] and spark.read.parquet(folder).count() == 2
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan  # other days are not opened
+
+
+def test_ordered_files(spark, tmp_path):
+    import random
+
+    names = [f"n{i:05d}" for i in range(4000)]
+    random.Random(3).shuffle(names)
+    df = spark.createDataFrame([(n, i % 7) for i, n in enumerate(names)], "name string, v int").repartition(5)
+    sinks.write_csv(df, str(tmp_path / "out"), order=["name"])
+    read = []
+    for file in sorted((tmp_path / "out").glob("part-*")):
+        read += [line.split(",")[0] for line in file.read_text().splitlines()[1:]]
+    assert read == sorted(names)
+
+
+def test_many_pages_in_a_file(spark, tmp_path):
+    land(tmp_path / "p", "pages.json", '{"pageItems":[{"_id":"a"}],"hasNextPage":true}\n{"pageItems":[{"_id":"b"},{"_id":"c"}]}\n')
+    items = feeds.read_items(spark, str(tmp_path / "p"), "memberships", page_per_line=True)
+    assert sorted(json.loads(r.item)["_id"] for r in items.collect()) == ["a", "b", "c"]
