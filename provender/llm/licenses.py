@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from provender.llm.walks import bound, over_runs, run_ends
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a text whose letters A-Z were made small.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -182,15 +184,15 @@ def _agreed(postings, weight) -> Column:
 
     votes = F.array_sort(F.array_distinct(F.flatten(F.transform("_held", of))))
 
-    def step(sums: Column, vote: Column) -> Column:
-        last = F.element_at(sums, -1)
-        same = (F.size(sums) > 0) & (last["template"] == vote["template"]) & (last["start"] == vote["start"])
-        row = lambda add: F.struct(vote["template"].alias("template"), vote["start"].alias("start"),
-                                   (vote["weight"] + add).alias("weight"))
-        return F.when(same, F.array_append(F.slice(sums, 1, F.size(sums) - 1), row(last["weight"]))) \
-            .otherwise(F.array_append(sums, row(F.lit(0.0))))
+    def summed(held: Column) -> Column:
+        places = F.transform(held, lambda v: F.struct(v["template"].alias("template"), v["start"].alias("start")))
+        weight = lambda first, size: F.aggregate(
+            F.transform(F.slice(held, first + 1, size), lambda v: v["weight"]), F.lit(0.0), lambda a, b: a + b)
+        return over_runs(run_ends(places), lambda first, size: F.struct(
+            F.get(held, first)["template"].alias("template"), F.get(held, first)["start"].alias("start"),
+            weight(first, size).alias("weight")))
 
-    return F.aggregate(votes, _none(AGREED), step)
+    return bound(votes, summed)
 
 
 def _verified(templates, split, mass, least) -> Column:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from provender.llm.walks import bound, over_runs, run_ends
 from provender.session import written
 
 ADDED = ("body", "quotes", "linked", "reply_to", "thread", "position", "formatted")
@@ -24,27 +25,18 @@ SALTS = 8
 
 
 def passages(text: Column) -> Column:
-    """The text as an array of (level, text): runs of lines of one level; blank lines end a run.
-
-    Lines are walked in order; only the last run can grow.
-    """
+    """The text as an array of (level, text): runs of lines of one level; blank lines end a run."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), lambda line: F.struct(
         F.regexp_count(F.regexp_extract(line, MARK, 0), F.lit(">")).alias("level"),
         F.regexp_replace(line, F.lit(MARK), F.lit("")).alias("text")))
 
-    def step(runs: Column, line: Column) -> Column:
-        last = F.element_at(runs, -1)
-        longer = F.struct(last["level"].alias("level"), F.array_append(last["lines"], line["text"]).alias("lines"))
-        own = F.struct(line["level"].alias("level"), F.array(line["text"]).alias("lines"))
-        blank = F.trim(line["text"]) == ""
-        ended = F.trim(F.element_at(last["lines"], -1)) == ""
-        same = (F.size(runs) > 0) & (last["level"] == line["level"]) & (blank == ended)
-        return F.when(same, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(longer))) \
-            .otherwise(F.array_append(runs, own))
-
-    none = F.from_json(F.lit("[]"), "array<struct<level: int, lines: array<string>>>")
-    runs = F.aggregate(lines, none, step)
-    return F.transform(runs, lambda r: F.struct(r["level"].alias("level"), F.array_join(r["lines"], "\n").alias("text")))
+    def cut(told: Column) -> Column:
+        kinds = F.transform(told, lambda line: F.struct(line["level"].alias("level"), (F.trim(line["text"]) == "").alias("blank")))
+        return over_runs(run_ends(kinds), lambda first, size: F.struct(
+            F.get(told, first)["level"].alias("level"),
+            F.array_join(F.transform(F.slice(told, first + 1, size), lambda line: line["text"]), "\n").alias("text")))
+
+    return bound(lines, cut)
 
 
 def passage_key(text: Column) -> Column:

@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from provender.llm.names import spare
+from provender.llm.walks import bound, running
+
+
+#: Characters of a stretch of text from which gaps between spans are cut.
+STRETCH = 1024
 
 
 @dataclass(frozen=True)
@@ -72,17 +77,13 @@ def found_in(text: Column, rules: Sequence[Rule] = RULES) -> Column:
             F.transform(whole, F.char_length).alias("width"),
             F.transform(part, F.char_length).alias("weight"))
 
-        def step(seen: Column, row: Column) -> Column:
-            start = seen["at"] + row["gap"]
-            end = start + row["width"]
-            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
-                            F.lit(rule.kind).alias("kind"))
-            return F.struct(end.alias("at"), F.when(row["weight"] >= rule.least, F.array_append(seen["found"], span))
-                            .otherwise(seen["found"]).alias("found"))
-
-        begin = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), FOUND).alias("found"))
-        walked = F.aggregate(rows, begin, step, lambda seen: seen["found"])
-        return F.when(text.rlike(rule.pattern), walked).otherwise(F.from_json(F.lit("[]"), FOUND))
+        before = lambda held: running(F.transform(held, lambda r: r["gap"] + r["width"]), lambda a, b: a + b, 0)
+        every = bound(rows, lambda held: F.zip_with(held, before(held), lambda r, at: F.struct(
+            (at + r["gap"]).cast("int").alias("start"), F.lit(rank).alias("rank"), (at + r["gap"] + r["width"]).cast("int").alias("end"),
+            F.lit(rule.kind).alias("kind"), r["weight"].alias("weight"))))
+        kept = F.transform(F.filter(every, lambda s: s["weight"] >= rule.least), lambda s: F.struct(
+            s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+        return F.when(text.rlike(rule.pattern), kept).otherwise(F.from_json(F.lit("[]"), FOUND))
 
     return F.array_sort(F.concat(*[spans(rank, rule) for rank, rule in enumerate(rules)]))
 
@@ -138,18 +139,23 @@ def span_list(found: Column) -> Column:
 
 def redacted(text: Column, found: Column, mark: str = "[secret]") -> Column:
     """The text with every found stretch replaced; spans that touch or overlap become one mark."""
-    def join(merged: Column, span: Column) -> Column:
-        last = F.element_at(merged, -1)
-        ahead = F.slice(merged, 1, F.size(merged) - 1)
-        one = F.struct(span["start"].alias("start"), span["end"].alias("end"))
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        return F.when((F.size(merged) > 0) & (last["end"] >= span["start"]), F.array_append(ahead, wider)) \
-            .otherwise(F.array_append(merged, one))
-
-    none = F.from_json(F.lit("[]"), "array<struct<start: int, end: int>>")
-    merged = F.aggregate(found, none, join)
-    end = F.struct(F.char_length(text).alias("start"), F.char_length(text).alias("end"))
-    edges = F.concat(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))), merged, F.array(end))
-    gaps = F.transform(F.sequence(F.lit(2), F.size(edges)), lambda i: F.substring(
-        text, F.element_at(edges, i - 1)["end"] + 1, F.element_at(edges, i)["start"] - F.element_at(edges, i - 1)["end"]))
-    return F.when(F.size(found) == 0, text).otherwise(F.array_join(gaps, mark))
+    # Where each span starts, and how far those before it reach: it opens a gap if it starts beyond that.
+    far = running(F.transform(found, lambda s: s["end"]), F.greatest, -1)
+    known = F.zip_with(found, far, lambda s, f: F.struct(s["start"].alias("start"), f.cast("int").alias("far")))
+    opening = F.filter(known, lambda s: s["start"] > s["far"])
+    last = F.array_max(F.transform(found, lambda s: s["end"]))
+
+    def pieces(first: Column) -> Column:
+        gaps = F.concat(F.transform(first, lambda s: F.struct(F.greatest(s["far"], F.lit(0)).alias("start"), s["start"].alias("end"))),
+                        F.array(F.struct(last.alias("start"), F.char_length(text).alias("end"))))
+        # A place in a long text is only found by reading up to it, so gaps are cut from stretches of it.
+        stretches = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))
+
+        def cut(held: Column, gap: Column) -> Column:
+            at = F.floor(gap["start"] / STRETCH).cast("int")
+            near = F.array_join(F.slice(held, at + 1, F.floor(gap["end"] / STRETCH).cast("int") - at + 1), "")
+            return F.substring(near, gap["start"] - at * STRETCH + 1, gap["end"] - gap["start"])
+
+        return F.array_join(bound(stretches, lambda held: F.transform(gaps, lambda g: cut(held, g))), mark)
+
+    return F.when(F.size(found) == 0, text).otherwise(bound(opening, pieces))
