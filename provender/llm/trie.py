@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from provender.session import written
 
 #: Rows of a container at most.
-CAPACITY = 4096
+CAPACITY = 512
 #: Positions of a sequence that are handled together.
 CHUNK = 4096
 #: Depths that the first round of bursting looks at.
