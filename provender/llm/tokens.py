@@ -1,10 +1,11 @@
 """Token ids of whole texts, with a bounded memory of words already encoded.
 
-A byte-level vocabulary never merges across the start of a word that one space
-precedes. A text is therefore cut before such spaces, every distinct piece is
-encoded once by the ``tokenizers`` library, and a text's ids are its pieces' ids in
-order. A piece of Latin letters and plain marks is cut further into its words,
-which go straight to the library's merge model. The result equals encoding the text
+A byte-level vocabulary never merges across words as its own rule cuts them. Latin
+words, numbers, plain marks and blanks are cut here by that rule in one pass over the
+text, every distinct one goes once to the ``tokenizers`` library's merge model, and a
+text's ids are its words' ids in order. A stretch with any other character, up to the
+next blank, is encoded by the library as it stands, as is a whole text that holds an
+added token or unusual blanks beside plain ones. The result equals encoding the text
 in one call; for other kinds of tokenizer, texts are encoded in one call.
 """
 
@@ -18,18 +19,21 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
-#: Pieces, and words, remembered by one Python worker, and their characters.
-ROOM = 400_000
-ROOM_CHARS = 8_000_000
+#: Words remembered by one Python worker, and their characters.
+ROOM = 800_000
+ROOM_CHARS = 16_000_000
 
-# A space that ends the text or has more white space after it is no plain cut.
-_ODD_SPACE = re.compile(r" (?=\s|\Z)")
-_PLAIN_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-# Letters, digits and marks that the library's own rule separates in just this way.
+_BLANK = r" \t\n\r"
+_OTHER_BLANK = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
-_WORD = re.compile(rf"[{_LETTER}]+|[0-9]+|[{_MARK}]+|\n")
+# Whole runs of one kind that no character outside the kinds below follows.
+_RUN = rf" ?(?:[{_LETTER}]++|[0-9]++|[{_MARK}]++)(?![^{_BLANK}{_LETTER}0-9{_MARK}])"
+# Blanks but for the last before a word; that one is the word's if it is a space.
+_BLANKS = rf"[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]"
+_WORD = re.compile(rf"{_RUN}| ?[^{_BLANK}]+|{_BLANKS}")
+_UNUSUAL = re.compile(f"[{_OTHER_BLANK}]")
+_MIXED = re.compile(f"[{_OTHER_BLANK}][{_BLANK}]|[{_BLANK}][{_OTHER_BLANK}]")
+_PLAIN = re.compile(rf" ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+|[{_BLANK}]+")
 
 
 class _Known(dict):
@@ -69,39 +73,35 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         settings = json.loads(self._library.to_str())
         self._byte_level = _is_byte_level(settings)
-        whole = ["\n\n", *(a["content"] for a in settings["added_tokens"])]
-        self._whole = re.compile("|".join(map(re.escape, whole)))
-        self._alphabet = _byte_names()
-        self._first = _Known(lambda piece: self._piece("", piece), room, room_chars)
-        self._later = _Known(lambda piece: self._piece(" ", piece), room, room_chars)
+        self._added = [a["content"] for a in settings["added_tokens"]]
+        self._alphabet = str.maketrans(_byte_names())
+        self._model = self._library.model
+        self._known = _Known(self._word, room, room_chars)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as bytes; a null text is an empty one."""
         if not self._byte_level:
             found = self._library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [_bytes(e.ids) for e in found]
-        later, out = self._later.__getitem__, []
+        known, out = self._known.__getitem__, []
         for text in texts:
-            first, *rest = _cut(text or "")
-            out.append(self._first[first] + b"".join(map(later, rest)))
-            self._first.tidy()
-            self._later.tidy()
+            text = text or ""
+            if any(a in text for a in self._added) or (_UNUSUAL.search(text) and _MIXED.search(text)):
+                out.append(self._by_library(text))
+            else:
+                out.append(b"".join(map(known, _WORD.findall(text))))
+            self._known.tidy()
         return out
 
-    def _piece(self, before: str, piece: str) -> bytes:
-        """A word goes to the merge model; a plain piece is the ids of its words."""
-        if piece.isalpha() and piece.isascii():
-            return self._merged(self._alphabet[32] + piece if before else piece)
-        words = _WORD.findall(piece)
-        if not words or sum(map(len, words)) != len(piece) or self._whole.search(piece):
-            return _bytes(self._library.encode(before + piece, add_special_tokens=False).ids)
-        if len(words) == 1:
-            return self._merged("".join(map(self._alphabet.__getitem__, (before + piece).encode())))
-        first = (self._later if before else self._first)[words[0]]
-        return first + b"".join(map(self._first.__getitem__, words[1:]))
+    def _word(self, word: str) -> bytes:
+        # The first test says the same of most words and is the quicker one.
+        if not (word.isascii() and word.isprintable() and "'" not in word) and not _PLAIN.fullmatch(word):
+            return self._by_library(word)
+        named = word.encode().decode("latin-1").translate(self._alphabet)
+        return _bytes([t.id for t in self._model.tokenize(named)])
 
-    def _merged(self, named: str) -> bytes:
-        return _bytes([t.id for t in self._library.model.tokenize(named)])
+    def _by_library(self, text: str) -> bytes:
+        return _bytes(self._library.encode(text, add_special_tokens=False).ids)
 
 
 def _is_byte_level(settings: dict) -> bool:
@@ -124,10 +124,6 @@ def _byte_names() -> dict[int, str]:
     return {b: chr(b) if chr(b) in alphabet else next(others) for b in range(256)}
 
 
-def _cut(text: str) -> list[str]:
-    return _PLAIN_CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-
-
 def _bytes(ids: list[int]) -> bytes:
     held = array("I", ids)
     if sys.byteorder == "big":
