@@ -347,19 +347,8 @@ def check_list(assessed: DataFrame) -> DataFrame:
         "doc_id", "c.*")
 
 
-def review_cases(assessed: DataFrame) -> DataFrame:
-    """Nested review case per document, ready to write as JSON."""
-    return assessed.select(
-        F.col("doc_id").alias("id"),
-        F.struct("supplier_id").alias("supplier"),
-        F.struct("recommendation", "passed", "reasons",
-                 F.transform("limits", lambda x: x.dropFields("amount", "effective")).alias("limits")).alias("assessment"),
-        F.struct("min_expiration", "expiry_mismatch", "declared_day").alias("dates"),
-        F.struct("parsing_error", "invalid_holder").alias("extraction"))
-
-
-def assessment_rows(assessed: DataFrame) -> DataFrame:
-    """Flat report row per document; ``*_flag`` holds what a sheet would colour."""
+def assessment_rows(assessed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Flat report row per document; ``*_flag`` holds what a sheet would colour. ``extra`` columns stay."""
     cells = [
         F.col("doc_id"), F.col("supplier_id"),
         F.initcap("recommendation").alias("recommended_action"),
@@ -383,4 +372,4 @@ def assessment_rows(assessed: DataFrame) -> DataFrame:
         .otherwise("none").alias("workers_flag"),
         F.when(F.col("holder_passed") | F.col("parsing_error"), "none").otherwise("fail").alias("holder_flag"),
     ]
-    return assessed.select(*cells)
+    return assessed.select(*cells, *[named(c) for c in extra])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provender.functions.dates import earliest
+from provender.operators import cases as C
 from provender.operators import extractions as X
 from provender.operators import policies as P
 from provender.operators import validate as V
@@ -394,3 +395,93 @@ def q_certificate_scan(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").where((F.col("o_orderstatus") != "P") & (F.col("o_orderdate") >= F.lit(AS_OF).cast("timestamp_ntz")))
     rows = o.select(F.col("o_custkey").alias("supplier_id"), F.col("o_orderkey").alias("doc_id"))
     return latest_per_key(rows, ["supplier_id"], ["doc_id"])
+
+
+LINK = "https://example.com/documents/"
+HOLDER_LINE_SQL = """CASE WHEN l_quantity > 20 THEN 'Acme Foods Inc' ELSE 'Other' END || CASE WHEN l_linestatus = 'O' THEN ',200 Commerce St' ELSE '' END
+  || ',Springfield,' || CASE WHEN l_returnflag = 'A' THEN 'VA' ELSE 'NC' END"""
+ENTRIES_SQL = f"""
+ent AS (SELECT supplier_id, doc_id, 'attachment' AS kind, attachment AS entry, status, error AS detail FROM att
+  UNION ALL SELECT supplier_id, doc_id, 'error', attachment || ': ' || error, NULL, NULL FROM att WHERE error IS NOT NULL
+  UNION ALL SELECT o_custkey, l_orderkey, 'certificate', l_orderkey || '-' || l_linenumber, NULL, NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL SELECT o_custkey, o_orderkey, 'document', '{LINK}' || o_orderkey, NULL, NULL FROM orders
+  UNION ALL SELECT o_custkey, l_orderkey, 'holder', {HOLDER_LINE_SQL}, NULL, NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+CHECKS_SQL = """
+chk AS (
+  SELECT doc_id, 1 AS place, 'extraction.parsing' AS key, 'Attachment parsing' AS label, CASE WHEN parsing_error THEN 'fail' ELSE 'pass' END AS status,
+    NULL AS expected, NULL AS actual, CASE WHEN parsing_error THEN 'One or more attachment extraction errors occurred.' END AS message FROM f
+  UNION ALL SELECT doc_id, 2, 'expiration.minimum', 'Minimum policy expiration date', CASE WHEN low IS NULL THEN 'unknown' WHEN expiry_ok THEN 'pass' ELSE 'fail' END,
+    NULL, strftime(low, '%Y-%m-%d'), CASE WHEN low IS NOT NULL AND NOT expiry_ok THEN 'One or more policies are expired.' END FROM f
+  UNION ALL SELECT doc_id, 3, 'expiration.declared', 'Declared expiration does not exceed policy expiration', CASE WHEN expiry_mismatch THEN 'fail' ELSE 'pass' END,
+    'Match attachment contents', declared_day, CASE WHEN expiry_mismatch THEN 'Declared expiration is later than the earliest extracted policy expiration.' END FROM f
+  UNION ALL SELECT doc_id, 3 + k.place, 'coverage.' || k.key, k.name, CASE WHEN COALESCE(lx.warning, false) THEN 'warn' WHEN COALESCE(lx.passed, false) THEN 'pass' ELSE 'fail' END,
+    CAST(k.minimum AS VARCHAR), COALESCE(lx.shown, ''), CASE WHEN NOT COALESCE(lx.passed, false) THEN COALESCE(lx.reason, 'No unexpired ' || k.name || ' policies found') END
+    FROM f CROSS JOIN (SELECT *, CASE key WHEN 'general_occurrence' THEN 1 WHEN 'general_aggregate' THEN 2 WHEN 'automobile' THEN 3 ELSE 4 END AS place FROM lim) k
+    LEFT JOIN lx ON f.supplier_id = lx.supplier_id AND k.key = lx.key
+  UNION ALL SELECT doc_id, 8, 'workers.per-statute', 'Workers compensation per statute', CASE WHEN workers_warning THEN 'warn' WHEN starts_with(workers, 'Yes') THEN 'pass' ELSE 'fail' END,
+    'Yes', workers, NULL FROM f
+  UNION ALL SELECT doc_id, 9, 'holder.address', 'Certificate holder address', CASE WHEN holder_ok THEN 'pass' ELSE 'fail' END, NULL,
+    COALESCE((SELECT string_agg(entry, chr(10) ORDER BY entry) FROM ent WHERE kind = 'holder' AND ent.doc_id = f.doc_id), ''),
+    CASE WHEN NOT holder_ok THEN 'Holder info does not meet requirements.' END FROM f)
+"""
+
+
+def _first_sql(key: str, kind: str, name: str, text: str = "entry", shown: int = C.SHOWN) -> str:
+    """A table of the first entries of a kind as lines, and of how many there are."""
+    return f"""{name} AS (SELECT {key}, string_agg({text}, chr(10) ORDER BY place) FILTER (WHERE place <= {shown}) AS lines, count(*) AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY doc_id, entry, status, detail) AS place FROM ent WHERE kind = '{kind}') GROUP BY 1)"""
+
+
+def case_entries(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _docs(spark, sf).select("supplier_id", "doc_id")
+    owned = _certificates(spark, sf).join(docs, "doc_id")
+    lines = P.holder_lines(_certificates(spark, sf), "doc_id").join(docs, "doc_id")
+    return C.case_entries(P.attachment_outcomes(_attachments(spark, sf)), owned, docs, lines, F.concat(F.lit(LINK), F.col("doc_id")))
+
+
+@query(f"WITH {ATTACH_SQL}, {ENTRIES_SQL} SELECT * FROM ent")
+def q_case_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Attachments, errors, certificates, documents and holders behind the review cases, one row each."""
+    return case_entries(spark, sf)
+
+
+@query(f"""{ASSESS_SQL}, {ENTRIES_SQL}, {CHECKS_SQL},
+{_first_sql('supplier_id', 'attachment', 'fa', "entry || '|' || status || '|' || COALESCE(detail, '')")}, {_first_sql('supplier_id', 'error', 'fe')},
+{_first_sql('supplier_id', 'certificate', 'fc')}, {_first_sql('supplier_id', 'document', 'fd')},
+cl AS (SELECT doc_id, string_agg(concat_ws('|', key, label, status, COALESCE(expected, '-'), COALESCE(actual, '-'), COALESCE(message, '-')), chr(10) ORDER BY place) AS checks FROM chk GROUP BY 1)
+SELECT f.doc_id AS id, f.supplier_id, recommendation, passed, COALESCE(reasons, '') AS reasons, checks, COALESCE(fa.lines, '') AS attachments, COALESCE(fe.lines, '') AS errors,
+  COALESCE(fc.lines, '') AS certificates, COALESCE(fd.lines, '') AS documents,
+  COALESCE(fa.n, 0) AS n_attachments, COALESCE(fe.n, 0) AS n_errors, COALESCE(fc.n, 0) AS n_certificates, COALESCE(fd.n, 0) AS n_documents
+FROM f JOIN cl ON f.doc_id = cl.doc_id LEFT JOIN fa ON f.supplier_id = fa.supplier_id LEFT JOIN fe ON f.supplier_id = fe.supplier_id
+LEFT JOIN fc ON f.supplier_id = fc.supplier_id LEFT JOIN fd ON f.supplier_id = fd.supplier_id
+""")
+def q_review_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested review case of each awaiting document, its lists as lines of text."""
+    cases = C.review_cases(assessed(spark, sf), case_entries(spark, sf))
+    lines = lambda c, line: F.array_join(F.transform(c, line), "\n")
+    dash = lambda c: F.coalesce(c, F.lit("-"))
+    return cases.select(
+        "id", "supplier.supplier_id", "assessment.recommendation", "assessment.passed", F.array_join("assessment.reasons", "\n").alias("reasons"),
+        lines("assessment.checks", lambda c: F.concat_ws("|", c["key"], c["label"], c["status"], dash(c["expected"]), dash(c["actual"]), dash(c["message"]))).alias("checks"),
+        lines("attachments", lambda a: F.concat_ws("|", a["key"], a["status"], F.coalesce(a["error"], F.lit("")))).alias("attachments"),
+        F.array_join("extraction.parsing_errors", "\n").alias("errors"), F.array_join("extraction.certificates", "\n").alias("certificates"),
+        F.array_join("extraction.documents", "\n").alias("documents"),
+        "extraction.n_attachments", "extraction.n_errors", "extraction.n_certificates", "extraction.n_documents")
+
+
+@query(f"""{ASSESS_SQL}, {ENTRIES_SQL}, {_first_sql('doc_id', 'attachment', 'fa', "entry || ': ' || status")}, {_first_sql('doc_id', 'holder', 'fh')}, {_first_sql('supplier_id', 'document', 'fd')},
+flag AS (SELECT supplier_id, key, shown, CASE WHEN passed THEN 'none' WHEN warning THEN 'warn' WHEN shown = '' THEN 'blank' ELSE 'fail' END AS flag FROM lx)
+SELECT f.doc_id, 'Supplier ' || f.supplier_id AS trading_partner, '{LINK}' || f.doc_id AS document_link, '' AS action_selection, '' AS custom_message,
+  COALESCE(fh.lines, '') AS holder_names, COALESCE(fa.lines, '') AS attachment_details, COALESCE(fa.n, 0) AS n_attachments, COALESCE(fd.lines, '') AS documents_considered, COALESCE(fd.n, 0) AS n_documents,
+  """ + ", ".join(f"""COALESCE({k}.shown, '') AS {k}, CASE WHEN {k}.flag IN ('none', 'warn') THEN {k}.flag WHEN parsing_error OR COALESCE({k}.flag, 'blank') = 'blank' THEN 'none' ELSE 'fail' END AS {k}_flag"""
+                  for k in ("general_occurrence", "general_aggregate", "automobile", "employers")) + """
+FROM f LEFT JOIN fa ON f.doc_id = fa.doc_id LEFT JOIN fh ON f.doc_id = fh.doc_id LEFT JOIN fd ON f.supplier_id = fd.supplier_id
+""" + " ".join(f"LEFT JOIN flag {k} ON f.supplier_id = {k}.supplier_id AND {k}.key = '{k}'" for k in ("general_occurrence", "general_aggregate", "automobile", "employers")))
+def q_full_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Report row of each awaiting document with its four limits, holders, attachments and the documents considered."""
+    report = C.full_report(assessed(spark, sf), case_entries(spark, sf), F.concat(F.lit("Supplier "), F.col("supplier_id")),
+                           F.concat(F.lit(LINK), F.col("doc_id")))
+    limits = [c for x in P.LIMITS for c in (x.key, f"{x.key}_flag")]
+    return report.select("doc_id", "trading_partner", "document_link", "action_selection", "custom_message", "holder_names", "attachment_details",
+                         "n_attachments", "documents_considered", "n_documents", *limits)
