@@ -111,6 +111,23 @@ def migrate_ids(own_source_id: Column, ids: Column, change_id: Column, prefix: s
         .otherwise(F.array().cast("array<string>")))
 
 
+# Fields of a partner that are text and never null.
+PARTNER_FIELDS = ("companycode", "vendorid", "partnerid", "name", "address", "city", "state",
+                  "coi_emails", "fsqa_emails", "email", "phone")
+
+
+def migrate_partners(old: DataFrame, prefix: str = SOURCE_PREFIX) -> DataFrame:
+    """Old partners in the new form: ``masterid``, text fields, ``external_ids``, ``frozen``.
+
+    ``old`` has ``id, own_source_id, external_ids, change_id`` and any of the text fields;
+    a field that is absent or null becomes empty, null ids become a list without entries.
+    """
+    blank = F.lit("")
+    fields = [F.coalesce(named(f).cast("string"), blank).alias(f) if f in old.columns else blank.alias(f) for f in PARTNER_FIELDS]
+    ids = migrate_ids(F.col("own_source_id"), F.coalesce("external_ids", F.array().cast("array<string>")), F.col("change_id"), prefix)
+    return old.select(F.col("id").alias("masterid"), *fields, ids.alias("external_ids"), F.lit(False).alias("frozen"))
+
+
 def repair_ids(ids: Column, change_id: Column, prefix: str = SOURCE_PREFIX) -> Column:
     """Drop ids with an undefined part; an id from the first change replaces the list."""
     cleaned = F.when(F.array_contains(ids, prefix + "undefined"),
@@ -119,8 +136,13 @@ def repair_ids(ids: Column, change_id: Column, prefix: str = SOURCE_PREFIX) -> C
 
 
 def vendors(master: DataFrame) -> DataFrame:
-    """Vendor master rows to match against: not blocked and not flagged deleted."""
-    return master.where(~F.col("VendorName").startswith("BLK") & (F.trim("CentralDeletionFlag") != "X")).select(
+    """Vendor master rows to match against: not blocked and not flagged deleted.
+
+    Only a name that says so blocks, only a flag deletes: rows without either stay.
+    """
+    blocked = F.coalesce(F.col("VendorName").startswith("BLK"), F.lit(False))
+    deleted = F.coalesce(F.trim("CentralDeletionFlag") == "X", F.lit(False))
+    return master.where(~blocked & ~deleted).select(
         F.col("Vendor").alias("vendor_id"), F.col("VendorName").alias("name"), F.col("StreetAddress").alias("address"),
         F.col("City").alias("city"), F.col("Region").alias("state"),
         F.coalesce("Telephone1", "Telephone2").alias("phone"), F.col("PostalCode").alias("zip"),

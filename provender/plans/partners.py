@@ -93,6 +93,27 @@ def q_partner_conflict(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("update_reason", P.completeness(no, no, F.lit(""), failed))
 
 
+@query("""
+SELECT 'm' || c_custkey AS masterid, COALESCE(c_name, '') AS name, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'p' || c_nationkey END AS phone,
+  CASE WHEN c_custkey % 2 = 0 THEN '' ELSE COALESCE(c_mktsegment, '') END AS address, '' AS city, '' AS email, false AS frozen,
+  CASE WHEN c_custkey % 5 = 0 THEN 'source:own' || c_custkey WHEN c_custkey % 5 = 1 THEN 'source:s' || c_custkey || ',sap:' || c_custkey
+       WHEN c_custkey % 5 = 2 THEN 'source:chg' || c_custkey ELSE '' END AS external_ids
+FROM customer
+""")
+def q_partner_migration(spark: SparkSession, sf: str) -> DataFrame:
+    """Old partners in the new form, with blanks for what they lack."""
+    key, turn = text("c_custkey"), F.col("c_custkey") % 5
+    old = table(spark, sf, "customer").select(
+        F.concat(F.lit("m"), key).alias("id"), F.col("c_name").alias("name"),
+        F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("p"), text("c_nationkey"))).alias("phone"), F.when(F.col("c_custkey") % 2 != 0, F.col("c_mktsegment")).alias("address"),
+        F.when(turn == 0, F.concat(F.lit("own"), key)).alias("own_source_id"),
+        F.when(turn == 1, F.array(F.concat(F.lit("source:s"), key), F.concat(F.lit("sap:"), key)))
+        .when(turn == 3, F.array(F.lit("sap:only"))).alias("external_ids"),
+        F.when(turn == 2, F.concat(F.lit("chg"), key)).alias("change_id"))
+    return P.migrate_partners(old).select(
+        "masterid", "name", "phone", "address", "city", "email", "frozen", F.array_join("external_ids", ",").alias("external_ids"))
+
+
 @query("""
 SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'source:own' || c_custkey WHEN 1 THEN 'source:undefined,sap:' || c_custkey WHEN 2 THEN 'source:chg' || c_custkey ELSE '' END AS migrated,
   CASE c_custkey % 5 WHEN 2 THEN 'source:chg' || c_custkey WHEN 1 THEN 'sap:' || c_custkey WHEN 3 THEN 'sap:keep' ELSE 'sap:undefined' END AS repaired,

@@ -132,3 +132,20 @@ def test_vendor_scan(spark):
     df = spark.createDataFrame([row("1", "Ok", ""), row("2", "BLK Bad", ""), row("3", "Gone", " X ")], cols)
     got = P.vendors(df).collect()
     assert [(r.vendor_id, r.phone, r.ein1) for r in got] == [("1", "2", "t")]
+
+
+def test_migrated_partner_has_every_field(spark):
+    old = spark.createDataFrame(
+        [("a", "Mills", None, "7", ["source:x"], "9"), ("b", None, None, None, ["source:x", "sap:1"], "9"),
+         ("c", None, None, "", None, "9"), ("d", None, None, None, None, None)],
+        "id string, name string, city string, own_source_id string, external_ids array<string>, change_id string")
+    rows = {r.masterid: r for r in P.migrate_partners(old).collect()}
+    assert [rows[k].external_ids for k in "abcd"] == [["source:7"], ["source:x", "sap:1"], ["source:9"], []]
+    assert rows["a"].name == "Mills" and rows["b"].name == rows["a"].city == rows["d"].phone == "" and not rows["a"].frozen
+
+
+def test_vendors_without_flag_or_name_stay(spark):
+    columns = "Vendor, VendorName, CentralDeletionFlag, StreetAddress, City, Region, Telephone1, Telephone2, PostalCode, TaxNumber1, TaxNumber2".split(", ")
+    rows = [("1", "Mill", None), ("2", None, ""), ("3", "BLK Mill", None), ("4", "Mill", " X "), ("5", None, None)]
+    master = spark.createDataFrame([r + (None,) * 8 for r in rows], ", ".join(f"{c} string" for c in columns))
+    assert sorted(r.vendor_id for r in P.vendors(master).collect()) == ["1", "2", "5"]
