@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from provender.operators import match as X
 from provender.operators import partners as P
+from provender.plans.partners import q_back_office_list
 
 
 def partners(spark, *rows):
@@ -149,3 +150,29 @@ def test_vendors_without_flag_or_name_stay(spark):
     rows = [("1", "Mill", None), ("2", None, ""), ("3", "BLK Mill", None), ("4", "Mill", " X "), ("5", None, None)]
     master = spark.createDataFrame([r + (None,) * 8 for r in rows], ", ".join(f"{c} string" for c in columns))
     assert sorted(r.vendor_id for r in P.vendors(master).collect()) == ["1", "2", "5"]
+
+
+def test_back_office_list_of_groups_shuffles_no_pair(spark):
+    """Whole groups that match give what their pairs give, repeats and nulls too; pairs are made in the last join."""
+    b = spark.createDataFrame([(1, "Mill", "1 st", None, "s"), (2, "Farm", None, "c", "s"), (2, "Farm 2", "2 st", "c", ""), (None, "No id", "a", "b", "c")],
+                              "business_id int, name string, address string, city string, state string")
+    v = spark.createDataFrame([(i, f"v{i}", "a", "c", None, f"e{i}") for i in range(40)] + [(3, "again", None, None, None, None)],
+                              "vendor_id int, name string, address string, city string, state string, ein string")
+    left = spark.createDataFrame([(1, "x"), (2, "x"), (2, "y"), (None, "x"), (1, None)], "business_id int, g string")
+    right = spark.createDataFrame([(i, "x" if i % 2 else None if i % 5 == 0 else "y") for i in range(40)] + [(3, "x")], "vendor_id int, g string")
+    rows = lambda df: sorted(map(repr, df.collect()))
+    whole = X.back_office_list(b, v, (left, right), ["g"])
+    assert rows(whole) == rows(X.back_office_list(b, v, left.join(right, "g"))) != []
+    assert whole.where("office_ein = 'e1'").orderBy("business_name").first().asDict() == {
+        "business_id": 2, "business_name": "Farm", "business_address": "; c; s", "office_name": "v1", "office_address": "a; c; ", "office_ein": "e1"}
+
+
+def test_back_office_query_makes_its_pairs_last(spark, tmp_path):
+    land = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    land("supplier", [(i, f"s{i}", i % 3) for i in range(9)], "s_suppkey long, s_name string, s_nationkey int")
+    land("nation", [(i, f"n{i}") for i in range(3)], "n_nationkey int, n_name string")
+    land("part", [(i, "p", "b", i % 3) for i in range(30)], "p_partkey long, p_name string, p_brand string, p_size int")
+    found = q_back_office_list(spark, str(tmp_path))
+    assert found.count() == 90
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert "size" in joins[0] and not any("size" in x for x in joins[1:])
