@@ -176,3 +176,11 @@ def test_back_office_query_makes_its_pairs_last(spark, tmp_path):
     assert found.count() == 90
     joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
     assert "size" in joins[0] and not any("size" in x for x in joins[1:])
+
+
+def test_reach_of_names(spark):
+    """Once names up to a distance have enough vendors, farther names know it, and few of them are looked up."""
+    pairs = spark.createDataFrame([("a", "x", 0.0), ("a", "y", 0.1), ("a", "z", 0.2), ("b", "y", 0.1)], "left_name string, right_name string, distance double")
+    vendors = spark.createDataFrame([(i, "x") for i in range(4)] + [(9, "y"), (10, "y"), (11, "z")], "vendor_id int, name string")
+    got = {(r.left_name, r.right_name): r.reach for r in X._with_reach(pairs, vendors, 6).collect()}
+    assert got == {("a", "x"): None, ("a", "y"): 0.1, ("a", "z"): 0.1, ("b", "y"): None}
