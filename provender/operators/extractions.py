@@ -43,29 +43,34 @@ def attachment_statuses(docs: DataFrame) -> DataFrame:
     ``extracted`` holds the ids of the certificates it found. Its source is the last of the
     document's attachments with its name. Text that is no JSON object counts as no run.
     """
-    source, no_sources = F.col("sources"), F.array().cast(docs.schema["attachments"].dataType)
+    no_sources = F.array().cast(docs.schema["attachments"].dataType)
     told = docs.select("doc_id", F.coalesce("attachments", no_sources).alias("sources"), "run", _ran(F.col("run")).alias("ran"))
     run_error = F.coalesce(F.get_json_object("run", "$.msg"), F.get_json_object("run", "$.serialized.message"))
 
-    idle = told.where("not ran").select("doc_id", run_error.alias("error"), F.posexplode("sources").alias("at", "s"))
+    # A document takes one of two ways, in one pass: its sources, or the entries of its run.
+    def item(attachment: Column, s: Column, value: Column) -> Column:
+        return F.struct(attachment.alias("attachment"), s["fileName"].alias("file_name"), s["S3Name"].alias("stored_name"), value.alias("value"))
+
+    def named_so(key: Column) -> Column:
+        return F.try_element_at(F.filter("sources", lambda s: F.coalesce(s["fileName"], s["S3Name"]) == key), F.lit(-1))
+
+    idle = F.transform("sources", lambda s, at: item(_key(s, at), s, F.lit(None).cast("string")))
+    held = F.transform(_entries(F.col("run")), lambda e: item(e["key"], named_so(e["key"]), e["value"]))
+    rows = told.select("doc_id", "ran", F.when(~F.col("ran"), run_error).alias("run_error"),
+                       F.explode(F.when(F.col("ran"), held).otherwise(idle)).alias("x"))
+    rows = rows.select("doc_id", "ran", "run_error", "x.*").withColumn("v", F.try_parse_json("value"))
+    rows = rows.withColumns({"results": _at(F.col("v"), "$.results"), "serialized": _at(F.col("v"), "$.results.serialized")})
+
     none = F.array().cast("array<string>")
-    idle = idle.select("doc_id", _key(F.col("s"), F.col("at")).alias("attachment"), F.col("s.fileName").alias("file_name"),
-                       F.col("s.S3Name").alias("stored_name"), F.lit("not-run").alias("status"), "error", none.alias("extracted"))
-
-    held = told.where("ran").select("doc_id", "sources", F.explode(_entries(F.col("run"))).alias("entry"))
-    held = held.select("doc_id", F.col("entry.key").alias("attachment"), F.try_element_at(
-        F.filter(source, lambda s: F.coalesce(s["fileName"], s["S3Name"]) == F.col("entry.key")), F.lit(-1)).alias("s"),
-        F.try_parse_json(F.col("entry.value")).alias("v"))
-    results, serialized = _at(F.col("v"), "$.results"), _at(F.col("v"), "$.results.serialized")
-    failed = results.isNull() | serialized.isNotNull()
-    error = F.when(results.isNull(), F.coalesce(
-        _at(F.col("v"), "$.msg"), _at(F.col("v"), "$.serialized.message"))).when(serialized.isNotNull(), F.coalesce(
+    failed = F.col("results").isNull() | F.col("serialized").isNotNull()
+    error = F.when(~F.col("ran"), F.col("run_error")).when(F.col("results").isNull(), F.coalesce(
+        _at(F.col("v"), "$.msg"), _at(F.col("v"), "$.serialized.message"))).when(F.col("serialized").isNotNull(), F.coalesce(
         _at(F.col("v"), "$.results.serialized.cause.cause.information"), _at(F.col("v"), "$.results.serialized.message")))
-    ids = F.filter(F.transform(_entries(results), lambda e: F.get_json_object(e["value"], "$._id")), lambda i: i.isNotNull())
-    held = held.select("doc_id", "attachment", F.col("s.fileName").alias("file_name"), F.col("s.S3Name").alias("stored_name"),
-                       F.when(failed, "failed").otherwise("success").alias("status"), error.alias("error"),
-                       F.when(failed, none).otherwise(ids).alias("extracted"))
-    return idle.unionByName(held)
+    ids = F.filter(F.transform(_entries(F.col("results")), lambda e: F.get_json_object(e["value"], "$._id")), lambda i: i.isNotNull())
+    return rows.select(
+        "doc_id", "attachment", "file_name", "stored_name",
+        F.when(~F.col("ran"), "not-run").when(failed, "failed").otherwise("success").alias("status"), error.alias("error"),
+        F.when(~F.col("ran") | failed, none).otherwise(ids).alias("extracted"))
 
 
 def valid_extractions(docs: DataFrame) -> DataFrame:

@@ -34,3 +34,8 @@ def test_attachments_of_a_run(spark):
     found = X.valid_extractions(docs).collect()
     assert [(r.doc_id, r.attachment, r.certificate_id) for r in found] == [("d", "a.pdf", "c1"), ("d", "a.pdf", "c2")]
     assert json.loads(found[0].certificate) == {"_id": "c1", "deep": {"_id": "no"}}
+
+
+def test_documents_are_read_once(spark):
+    plan = X.attachment_statuses(spark.createDataFrame([("d", FILES, None)], SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
