@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from provender.operators import policies as P
 from provender.operators import validate as V
+from provender.plans.certificates import q_report_rows
 
 CGL, AL, UL, WCEL = P.SLOT_TYPES.values()
 SCHEMA = ("supplier_id int, doc_id int, cert_id string, ord long, type string, number string, effective_date timestamp, "
@@ -176,3 +177,17 @@ def test_template_without_answers_fails(spark):
     assert (got.failed, got.n_failed) == (True, 2)
     assert [r.reason for r in V.template_reasons(template(spark, columns, [("w", None, False)]), True).collect()] == [
         "Work(false) did not meet the requirement (true)"]
+
+
+def test_report_rows_are_assessed_once(spark, tmp_path):
+    """The place among a supplier's documents is found before the assessment, not beside a second one."""
+    land = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    land("orders", [(i, i % 2, "O", 1.0, dt.datetime(1998, 1, 1), "1-URGENT") for i in range(5)],
+         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    land("lineitem", [(i, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", dt.datetime(1999, 1, 1)) for i in range(5)],
+         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+         "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    rows = q_report_rows(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.part) for r in rows.collect()) == [(0, "1"), (1, "1"), (2, "2"), (3, "2"), (4, "3")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 3  # policies, holders, attachments
