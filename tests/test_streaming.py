@@ -1,6 +1,7 @@
 import os
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from provender.operators.ordered import time_chunk
@@ -150,3 +151,54 @@ def test_triage_stream_reads_partners_per_batch(spark, tmp_path):
                  lambda s: s.createDataFrame([], "doc_id string, open_jobs long"), f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
     routes = [r.route for r in spark.read.parquet(f"{tmp_path}/out").orderBy("batch").collect()]
     assert routes == ["diagnostic", "queue"]
+
+
+class Kept:
+    """A state of one work item that counts its calls."""
+
+    def __init__(self):
+        self.value, self.rows, self.calls = None, {}, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.rows
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.rows[key] = value
+
+    def iterator(self):
+        return iter(self.rows.items())
+
+    def clear(self):
+        self.rows, self.value = {}, None
+
+    def registerTimer(self, at):
+        pass
+
+
+def test_state_is_asked_once_an_attachment(spark):
+    """Thousands of statuses of two attachments in a batch take a few calls of the state, with the same outcome."""
+    watch = ST.Completion("24 hours")
+    watch.handle, watch.job, watch.attachments = Kept(), Kept(), Kept()
+    frame = pd.DataFrame({"attachment": ["a", "b"] * 2000, "status": ["failure", "success"] * 2000, "n_expected": 3, "started": 0,
+                          "at": range(4000)})
+    assert list(watch.handleInputRows(("j",), iter([frame, frame]), None)) == []
+    assert watch.attachments.calls <= 6
+    assert watch.attachments.rows == {("a",): ("failure", 3998, 0), ("b",): ("success", 3999, 1)}
+    last = pd.DataFrame({"attachment": ["c"], "status": ["success"], "n_expected": [None], "started": 0, "at": [0]})
+    done = next(watch.handleInputRows(("j",), iter([last]), None))
+    assert done.iloc[0].tolist() == ["j", "complete", 3, 2, "c"]
