@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -184,3 +185,21 @@ def test_reach_of_names(spark):
     vendors = spark.createDataFrame([(i, "x") for i in range(4)] + [(9, "y"), (10, "y"), (11, "z")], "vendor_id int, name string")
     got = {(r.left_name, r.right_name): r.reach for r in X._with_reach(pairs, vendors, 6).collect()}
     assert got == {("a", "x"): None, ("a", "y"): 0.1, ("a", "z"): 0.1, ("b", "y"): None}
+
+
+def test_pairs_of_a_group_come_block_by_block(spark):
+    """A block of businesses meets all vendors of a part before the next block does, so cells repeat close to each other."""
+    b = spark.range(1000).select(F.col("id").alias("business_id"), F.format_string("b%d", "id").alias("name"),
+                                 *[F.lit("x").alias(c) for c in ("address", "city", "state")])
+    v = spark.range(64).select(F.col("id").alias("vendor_id"), F.format_string("v%d", "id").alias("name"),
+                               *[F.lit("y").alias(c) for c in ("address", "city", "state")], F.format_string("e%d", "id").alias("ein"))
+    found = X.back_office_list(b, v, (b.select("business_id", F.lit(1).alias("g")), v.select("vendor_id", F.lit(1).alias("g"))), ["g"])
+    pairs = [(r.business_id, r.office_ein) for r in found.collect()]
+    assert len(pairs) == len(set(pairs)) == 64000
+    runs = [len(list(rows)) for _, rows in itertools.groupby(pairs, key=lambda p: p[1])]
+    assert max(runs) <= X.GROUP_BLOCK * 2 and len(runs) < 64000 / 20
+    gaps, last = [], {}
+    for i, (business, _) in enumerate(pairs):
+        gaps += [i - last[business]] if business in last else []
+        last[business] = i
+    assert sorted(gaps)[len(gaps) // 2] <= X.GROUP_BLOCK
